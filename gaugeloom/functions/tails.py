@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+# The functions travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -78,21 +84,19 @@ def _rowwise(function, *columns: pd.Series) -> pd.Series:
     return pd.Series(values, dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def f_upper_tail(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return _rowwise(f_upper, f, d1, d2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def kolmogorov_upper_tail(d: pd.Series, n: pd.Series) -> pd.Series:
     return _rowwise(kolmogorov_upper, d, n)
 
 
-_erf = np.frompyfunc(math.erf, 1, 1)
-
-
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_cdf(z: pd.Series) -> pd.Series:
     """Standard normal distribution function; runs once per distinct value."""
+    erf = np.vectorize(math.erf, otypes=["float64"])
     x = z.to_numpy(dtype="float64", na_value=np.nan) / math.sqrt(2.0)
-    return pd.Series(0.5 + 0.5 * _erf(x).astype("float64"))
+    return pd.Series(0.5 + 0.5 * erf(x)) if len(x) else pd.Series(x)

@@ -72,6 +72,28 @@ def value_chunk(value: Column, per_octave: int = 4096) -> Column:
     )
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
+    """Distinct values per group with their number of rows and their bucket."""
+    return (
+        df.filter(F.col(value).isNotNull())
+        .groupBy(*keys, value)
+        .agg(F.count(F.lit(1)).alias("cnt"))
+        .withColumn("bucket", value_chunk(F.col(value)))
+    )
+
+
+def bucket_offsets(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per group and bucket the rows below the bucket, in it and in the whole group."""
+    group = Window.partitionBy(*keys)
+    below = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        counts.groupBy(*keys, "bucket")
+        .agg(F.sum("cnt").alias("in_bucket"))
+        .withColumn("offset", F.coalesce(F.sum("in_bucket").over(below), F.lit(0).cast("bigint")))
+        .withColumn("n", F.sum("in_bucket").over(group))
+    )
+
+
 def ranked_values(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
     """Distinct values per group with their counts and cumulative counts.
 
@@ -80,25 +102,35 @@ def ranked_values(df: DataFrame, keys: Sequence[str], value: str = "value") -> D
     value buckets, so a group of any size is spread over many tasks.
     """
     keys = list(keys)
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .withColumn("bucket", value_chunk(F.col(value)))
-    )
-    inside = Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        counts.groupBy(*keys, "bucket")
-        .agg(F.sum("cnt").alias("_bucket_cnt"))
-        .withColumn("_offset", F.coalesce(F.sum("_bucket_cnt").over(before), F.lit(0).cast("bigint")))
-        .withColumn("n", F.sum("_bucket_cnt").over(Window.partitionBy(*keys)))
-        .drop("_bucket_cnt")
-    )
+    counts = value_counts(df, keys, value)
     return (
-        counts.withColumn("_running", F.sum("cnt").over(inside))
-        .join(totals, [*keys, "bucket"])
-        .withColumn("cum", F.col("_offset") + F.col("_running"))
+        _cumulated(counts, bucket_offsets(counts, keys), keys, value)
         .withColumn("prev_cum", F.col("cum") - F.col("cnt"))
         .select(*keys, "bucket", value, "cnt", "prev_cum", "cum", "n")
     )
+
+
+def _cumulated(counts: DataFrame, offsets: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    inside = Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.join(offsets, [*keys, "bucket"]).withColumn("cum", F.col("offset") + F.sum("cnt").over(inside))
+
+
+def exact_medians(counts: DataFrame, offsets: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
+    """Median of every group: the mean of its two middle values.
+
+    Only the one or two buckets that hold the middle ranks are sorted.
+    """
+    keys = list(keys)
+    lower = F.floor((F.col("n") + 1) / F.lit(2))
+    upper = F.floor(F.col("n") / F.lit(2)) + 1
+    holds = lambda rank: (F.col("offset") < rank) & (rank <= F.col("offset") + F.col("in_bucket"))
+    middle = offsets.filter(holds(lower) | holds(upper))
+    return (
+        _cumulated(counts, middle, keys, value)
+        .groupBy(*keys)
+        .agg(
+            F.min(F.when(F.col("cum") >= lower, F.col(value))).alias("_lo"),
+            F.min(F.when(F.col("cum") >= upper, F.col(value))).alias("_hi"),
+        )
+        .select(*keys, ((F.col("_lo") + F.col("_hi")) / F.lit(2.0)).alias("median"))
+    )

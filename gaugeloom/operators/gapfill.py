@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from gaugeloom.config import MAX_EXTRAP, MAX_GAP, TREND_POINTS
+from gaugeloom.functions.scalar import band
 from gaugeloom.operators.chunks import with_neighbours
 from gaugeloom.operators.grid import CHUNK_CELLS, grid_cells, time_axis
+from gaugeloom.operators.profile import with_rank
 
 OBSERVED = "observed"
 INTERPOLATED = "interpolated"
@@ -231,37 +233,33 @@ def fill_stats(
     )
 
 
-def _success(filled: Column, before: Column) -> Column:
-    return F.when(before > 0, filled / before * 100.0)
+def _pooled(grouped, *extra: Column) -> DataFrame:
+    done = F.col("n_interpolated") + F.col("n_extrapolated")
+    return grouped.agg(
+        F.sum("missing_before").alias("missing_before"),
+        F.sum("n_interpolated").alias("n_interpolated"),
+        F.sum(F.col("n_forward") + F.col("n_backward")).alias("n_extrapolated"),
+        F.sum("missing_after").alias("missing_after"),
+        *extra,
+    ).withColumn("success_pct", F.when(F.col("missing_before") > 0, done / F.col("missing_before") * 100.0))
 
 
 def pooled_fill_stats(stats: DataFrame) -> DataFrame:
     """Fill counts per variable over all groups, with success share, its band and rank."""
-    done = F.col("n_interpolated") + F.col("n_extrapolated")
-    return (
-        stats.groupBy("variable")
-        .agg(
-            F.sum("missing_before").alias("missing_before"),
-            F.sum("n_interpolated").alias("n_interpolated"),
-            F.sum(F.col("n_forward") + F.col("n_backward")).alias("n_extrapolated"),
-            F.sum("missing_after").alias("missing_after"),
-        )
-        .withColumn("success_pct", _success(done, F.col("missing_before")))
-    )
+    share = F.col("success_pct")
+    pooled = _pooled(stats.groupBy("variable")).withColumn("band", band(share, share > 50, share > 10))
+    return with_rank(pooled, share.desc())
+
+
+def fill_report(stats: DataFrame, axis_key: str = "year") -> DataFrame:
+    """Rows per group and variable, totals per group (``variable`` is NULL) and over all groups."""
+    return _pooled(stats.rollup(axis_key, "variable"), F.grouping_id(axis_key, "variable").alias("level"))
 
 
 def overall_fill_stats(stats: DataFrame) -> DataFrame:
     """One row: totals, success share and how the filled cells split over the methods."""
     done = F.col("n_interpolated") + F.col("n_extrapolated")
-    share = lambda part: F.when(done > 0, part / done * 100.0).otherwise(0.0)
-    return (
-        stats.agg(
-            F.sum("missing_before").alias("missing_before"),
-            F.sum("n_interpolated").alias("n_interpolated"),
-            F.sum(F.col("n_forward") + F.col("n_backward")).alias("n_extrapolated"),
-            F.sum("missing_after").alias("missing_after"),
-        )
-        .withColumn("success_pct", _success(done, F.col("missing_before")))
-        .withColumn("interpolated_pct", share(F.col("n_interpolated")))
-        .withColumn("extrapolated_pct", share(F.col("n_extrapolated")))
+    share = lambda part: F.when(done > 0, F.col(part) / done * 100.0).otherwise(0.0)
+    return _pooled(stats.groupBy()).withColumns(
+        {"interpolated_pct": share("n_interpolated"), "extrapolated_pct": share("n_extrapolated")}
     )

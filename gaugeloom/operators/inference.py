@@ -6,7 +6,7 @@ for every year and variable at once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeloom.config import (
@@ -20,7 +20,7 @@ from gaugeloom.config import (
 )
 from gaugeloom.functions.scalar import band
 from gaugeloom.functions.tails import f_upper_tail, kolmogorov_upper_tail, normal_cdf
-from gaugeloom.operators.chunks import ranked_values
+from gaugeloom.operators.chunks import bucket_offsets, exact_medians, ranked_values, value_counts
 from gaugeloom.operators.profile import with_rank
 
 GROUP = ("year", "variable")
@@ -88,20 +88,6 @@ def interannual_cv(stats: DataFrame, min_years: int = MIN_YEARS) -> DataFrame:
 # --- variances between stations ---------------------------------------------------
 
 
-def station_medians(ranked: DataFrame) -> DataFrame:
-    """Exact medians from cumulative counts: the mean of the two middle values."""
-    lower = F.floor((F.col("n") + 1) / F.lit(2))
-    upper = F.floor(F.col("n") / F.lit(2)) + 1
-    return (
-        ranked.groupBy(*SERIES, "n")
-        .agg(
-            F.min(F.when(F.col("cum") >= lower, F.col("value"))).alias("lo"),
-            F.min(F.when(F.col("cum") >= upper, F.col("value"))).alias("hi"),
-        )
-        .select(*SERIES, "n", ((F.col("lo") + F.col("hi")) / F.lit(2.0)).alias("median"))
-    )
-
-
 def levene_statistic(
     obs: DataFrame,
     min_values: int = MIN_VALUES_VARIANCE,
@@ -109,41 +95,44 @@ def levene_statistic(
 ) -> DataFrame:
     """Median-centred Levene statistic over the stations of a year, and their variances.
 
-    Stations are joined to their medians on the value buckets the distinct
-    values are already partitioned by, so a station of any size stays spread.
+    Stations meet their medians on the value buckets that split them, so a
+    station of any size stays spread. All sums are taken of distances from the
+    median, which keeps the differences of squares well away from cancellation.
     """
-    ranked = ranked_values(_measured(obs), SERIES).filter(F.col("n") >= min_values)
-    medians = station_medians(ranked)
-    buckets = ranked.select(*SERIES, "bucket").distinct().join(medians.drop("n"), list(SERIES))
-    z = F.abs(F.col("value") - F.col("median"))
-    n = F.col("cnt").cast("double")
-    centred = ranked.join(buckets, [*SERIES, "bucket"]).withColumn("z", z)
-
-    # Means first, then squared distances from them: no cancellation in the sums of squares.
-    station = centred.groupBy(*SERIES).agg(
-        F.sum("cnt").alias("n_i"),
-        (F.sum(n * F.col("z")) / F.sum(n)).alias("z_mean"),
-        (F.sum(n * F.col("value")) / F.sum(n)).alias("v_mean"),
-    )
-    means = buckets.select(*SERIES, "bucket").join(station, list(SERIES))
-    spread = (
-        centred.join(means, [*SERIES, "bucket"])
-        .groupBy(*SERIES, "n_i", "z_mean")
+    counts = value_counts(_measured(obs), SERIES)
+    offsets = bucket_offsets(counts, SERIES).filter(F.col("n") >= min_values)
+    medians = exact_medians(counts, offsets, SERIES)
+    centres = offsets.select(*SERIES, "bucket").join(medians, list(SERIES))
+    n, d = F.col("cnt").cast("double"), F.col("value") - F.col("median")
+    total = F.col("n_i").cast("double")
+    station = (
+        counts.join(centres, [*SERIES, "bucket"])
+        .groupBy(*SERIES)
         .agg(
-            F.sum(n * F.pow(F.col("z") - F.col("z_mean"), 2)).alias("z_within"),
-            (F.sum(n * F.pow(F.col("value") - F.col("v_mean"), 2)) / F.sum(n)).alias("variance"),
+            F.sum("cnt").alias("n_i"),
+            F.sum(n * d).alias("signed"),
+            F.sum(n * F.abs(d)).alias("absolute"),
+            F.sum(n * d * d).alias("squared"),
+        )
+        .select(
+            *GROUP,
+            "n_i",
+            (F.col("absolute") / total).alias("z_mean"),
+            (F.col("squared") - F.col("absolute") * F.col("absolute") / total).alias("z_within"),
+            ((F.col("squared") - F.col("signed") * F.col("signed") / total) / total).alias("variance"),
         )
     )
-    weight = F.col("n_i").cast("double")
-    grand = spread.groupBy(*GROUP).agg((F.sum(weight * F.col("z_mean")) / F.sum(weight)).alias("z_grand"))
-    total, k = F.col("n_values"), F.col("n_stations")
+    # One row per station and year from here on.
+    group = Window.partitionBy(*GROUP)
+    grand = F.sum(F.col("n_i") * F.col("z_mean")).over(group) / F.sum("n_i").over(group)
+    values, k = F.col("n_values"), F.col("n_stations")
     return (
-        spread.join(grand, list(GROUP))
+        station.withColumn("apart", F.col("n_i") * F.pow(F.col("z_mean") - grand, F.lit(2.0)))
         .groupBy(*GROUP)
         .agg(
             F.count(F.lit(1)).alias("n_stations"),
             F.sum("n_i").alias("n_values"),
-            F.sum(weight * F.pow(F.col("z_mean") - F.col("z_grand"), 2)).alias("between"),
+            F.sum("apart").alias("between"),
             F.sum("z_within").alias("within"),
             F.min("variance").alias("min_variance"),
             F.max("variance").alias("max_variance"),
@@ -154,9 +143,9 @@ def levene_statistic(
             *GROUP,
             "n_stations",
             "n_values",
-            _finite(
-                (total - k) / (k - 1) * F.col("between") / F.nullif(F.col("within"), F.lit(0.0))
-            ).alias("levene_w"),
+            _finite((values - k) / (k - 1) * F.col("between") / F.nullif(F.col("within"), F.lit(0.0))).alias(
+                "levene_w"
+            ),
             *[_finite(F.col(c)).alias(c) for c in ("min_variance", "max_variance", "mean_variance")],
         )
         .withColumn(

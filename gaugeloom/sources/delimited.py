@@ -22,7 +22,7 @@ STATION_COLUMNS = {
 
 def latin1_text(raw: Column) -> Column:
     """Text of a line that was read as raw bytes."""
-    return F.decode(raw.cast("binary"), F.lit("ISO-8859-1"))
+    return F.decode(raw.cast("binary"), "ISO-8859-1")
 
 
 def parse_lines(lines: DataFrame, columns: Sequence[str], line: str = "line", sep: str = ";") -> DataFrame:

@@ -12,6 +12,7 @@ LI_VARIABLES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 EVENT_VARIABLES = ("click", "error", "purchase", "signup", "view")
 BOUNDS = {v: (1.0, 200.0) for v in EVENT_VARIABLES}
 JUMP_LIMITS = {v: 100.0 for v in EVENT_VARIABLES}
+KEEP_THRESHOLD = 92.0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,3 +136,35 @@ def station_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(6.0) + (key % 90) / F.lit(10.0)).alias("longitude"),
         F.col("c_acctbal").alias("height"),
     )
+
+
+def wide_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("station_id"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("time"),
+        F.year("l_shipdate").alias("year"),
+        *LI_VARIABLES,
+    )
+
+
+def patchy_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One cell per supplier and day; zero discounts and taxes stand for missing values."""
+    cells = wide_lineitem(spark, sf_dir).groupBy("year", "station_id", "time").agg(
+        *[F.max(F.nullif(F.col(v), F.lit(0.0))).alias(v) for v in LI_VARIABLES]
+    )
+    return cells.unpivot(["station_id", "time", "year"], list(LI_VARIABLES), "variable", "value")
+
+
+def delimited_lines(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """Text lines of raw observations: padded fields, some short rows, some long ones, headers in between."""
+    eid = F.col("order_key")
+    key = [F.lpad(F.col("station_id").cast("string"), 11, " "), F.col("time_text"), F.lpad((eid % 10).cast("string"), 5, " ")]
+    full = [*key, F.lpad(F.col("raw"), 9, " "), F.lit("eor")]
+    line = (
+        F.when(eid % 89 == 0, F.concat_ws(";", *key))
+        .when(eid % 97 == 0, F.concat_ws(";", *full, F.lit("x")))
+        .otherwise(F.concat_ws(";", *full))
+    )
+    header = F.lit(";".join(columns))
+    lines = F.when(eid % 500 == 0, F.array(header, line)).otherwise(F.array(line))
+    return raw_obs(spark, sf_dir).select(F.explode(lines).alias("value"))
