@@ -40,10 +40,21 @@ def without_sentinel(value: Column, sentinel: float = SENTINEL) -> Column:
 
 
 def parse_time(text: Column) -> Column:
-    """Time from ``yyyyMMddHHmm``; shorter text is zero-padded on the left, other text gives NULL."""
+    """Time from ``yyyyMMddHHmm``; shorter text is zero-padded on the left, other text gives NULL.
+
+    Built from its digits, so the session's time zone has no say.
+    """
     bare = F.trim(text)
-    padded = F.when(F.length(bare) <= 12, F.lpad(bare, 12, "0"))
-    return F.try_to_timestamp(padded, F.lit("yyyyMMddHHmm")).cast("timestamp_ntz")
+    digits = F.when(bare.rlike("^[0-9]{1,12}$"), F.lpad(bare, 12, "0"))
+    part = lambda start, length: F.substring(digits, start, length).cast("int")
+    return F.try_make_timestamp_ntz(
+        part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2), F.lit(0).cast("decimal(16,6)")
+    )
+
+
+def parse_day(text: Column) -> Column:
+    """Midnight of a ``yyyyMMdd`` day; other text gives NULL."""
+    return parse_time(F.when(F.trim(text).rlike("^[0-9]{8}$"), F.rpad(F.trim(text), 12, "0")))
 
 
 def without_infinity(value: Column) -> Column:

@@ -10,6 +10,7 @@ with one row per series and chunk.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,17 +66,22 @@ def value_chunk(value: Column, per_octave: int = 4096) -> Column:
     """
     size = F.abs(value)
     scaled = F.floor(F.log2(size) * F.lit(float(per_octave))).cast("bigint") + F.lit(1200 * per_octave)
-    return (
+    bucket = (
         F.when(value == 0, F.lit(0).cast("bigint"))
         .when(size == float("inf"), F.signum(value).cast("bigint") * F.lit(4000 * per_octave))
         .otherwise(F.signum(value).cast("bigint") * scaled)
     )
+    return F.coalesce(bucket, F.lit(0).cast("bigint"))
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """Distinct values per group with their number of rows and their bucket."""
+    """Distinct values per group with their number of rows and their bucket.
+
+    Rows without a key or value are left out here, so that joins on these
+    columns add no filters of their own and all uses share one shuffle.
+    """
     return (
-        df.filter(F.col(value).isNotNull())
+        df.filter(reduce(Column.__and__, [F.col(c).isNotNull() for c in (*keys, value)]))
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("cnt"))
         .withColumn("bucket", value_chunk(F.col(value)))

@@ -150,8 +150,10 @@ def fill_gaps(
     ``extrapolated_forward``, ``extrapolated_backward`` and ``missing``.
     Wide tables pass all their variables at once and are shuffled once.
 
-    Trends read the series as it is after interpolation. With ``max_gap`` >= 4
-    this equals filling the runs one after another from left to right.
+    Trends read the series as it is after interpolation. As long as ``max_gap``
+    >= ``max_extrap + trend_points - 2`` (4 with the defaults) no trend can
+    reach a cell that was extrapolated, so this equals filling the runs one
+    after another from left to right.
     """
     keys = [*axis_keys, *series_keys]
     halo = max_gap + max_extrap + trend_points

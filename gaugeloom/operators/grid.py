@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.config import DAY_SECONDS, STEP_SECONDS
 from gaugeloom.functions.times import day_start, plus_seconds, seconds_between
+from gaugeloom.session import stored
 
 # Cells of a series that share a task; a series of any length is cut into such pieces.
 CHUNK_CELLS = 4096
@@ -17,15 +18,17 @@ CHUNK_CELLS = 4096
 def time_axis(obs: DataFrame, axis_keys: Sequence[str] = ("year",), time: str = "time") -> DataFrame:
     """The distinct times of every axis group with their position and the axis length.
 
-    Rows are bounded by calendar span / time step, whatever the number of stations.
+    Rows are bounded by calendar span / time step, whatever the number of
+    stations. The table is stored, because several joins use it.
     """
     group = Window.partitionBy(*axis_keys)
-    return (
+    axis = (
         obs.select(*axis_keys, time)
         .distinct()
         .withColumn("pos", F.row_number().over(group.orderBy(time)) - 1)
         .withColumn("n_pos", F.count(F.lit(1)).over(group).cast("int"))
     )
+    return stored(axis, "axis")
 
 
 def grid_cells(
@@ -110,12 +113,13 @@ def expand_steps(
 ) -> DataFrame:
     """One row per step from ``start`` to ``end``, both included.
 
-    A span is first cut into days and spread over the cluster, and only then
-    blown up to steps, so one very long span does not stay in one task.
+    A span is first cut into pieces of a few thousand steps that are spread over
+    the cluster, and only then blown up, so a very long span does not stay in
+    one task.
     """
     carried = spans.columns
     tasks = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    width = max(DAY_SECONDS, step_seconds)
+    width = CHUNK_CELLS * step_seconds
     pieces = F.floor(seconds_between(F.col(start), F.col(end)) / F.lit(width)).cast("int")
     piece_start = plus_seconds(F.col(start), F.col("_piece") * F.lit(width))
     piece_len = F.least(

@@ -31,8 +31,13 @@ def first_non_null(
 
 
 def to_long(df: DataFrame, variables: Sequence[str], ids: Sequence[str] = ("year", "station_id", "time")) -> DataFrame:
-    """One row per cell and variable."""
-    return df.unpivot(list(ids), list(variables), "variable", "value")
+    """One row per cell and variable.
+
+    A generator rather than ``unpivot``: filters move below it in every copy of
+    the plan, so several uses of a long table can share one shuffle.
+    """
+    pairs = [c for v in variables for c in (F.lit(v), F.col(v).cast("double"))]
+    return df.select(*ids, F.stack(F.lit(len(variables)), *pairs).alias("variable", "value"))
 
 
 def prune_variables(

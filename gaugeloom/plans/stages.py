@@ -1,12 +1,12 @@
 """The stages of a full run, from raw files to a gap-filled dataset.
 
-Every stage maps DataFrames to DataFrames. Writing a stage with
-:func:`gaugeloom.sources.dataset.write_years` cuts the lineage before the next.
+Every stage maps DataFrames to DataFrames; a full run writes each of them before
+the next one starts, so nothing is computed twice and lost executors cost little.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ from gaugeloom.operators.gapfill import fill_gaps
 from gaugeloom.operators.grid import join_station, station_dedupe
 from gaugeloom.operators.merge import first_non_null, prune_variables, to_long, union_folds
 from gaugeloom.operators.profile import global_missing_pct, keep_list, profile_missing
+from gaugeloom.session import stored
+from gaugeloom.sources.dataset import read_years, write_years
 
 KEYS = ("year", "station_id", "time")
 
@@ -29,7 +31,7 @@ def merge_stage(folds: Sequence[DataFrame], stations: DataFrame) -> DataFrame:
     union = union_folds(folds)
     values = [c for c in union.columns if c not in (*KEYS, "order_key", "fold", "file_name")]
     merged = first_non_null(union, values, KEYS)
-    return join_station(merged, station_dedupe(stations).drop("ordinal"))
+    return join_station(merged, stored(station_dedupe(stations).drop("ordinal"), "stations"))
 
 
 def clean_stage(observations: DataFrame, bounds: Bounds = BOUNDS, **switches: bool) -> DataFrame:
@@ -58,18 +60,28 @@ def fill_stage(observations: DataFrame, max_gap: int = MAX_GAP, max_extrap: int
         filled = filled.join(observations.select(*KEYS, *per_row), list(KEYS), "left")
     if constants:
         sites = observations.groupBy("station_id").agg(*[F.max(c).alias(c) for c in constants])
-        filled = filled.join(sites, "station_id", "left")
+        filled = join_station(filled, stored(sites, "stations"))
     return filled
 
 
 def full_run(
-    folds: Sequence[DataFrame], stations: DataFrame, bounds: Bounds = BOUNDS, threshold: float = MAX_MISSING_PCT
-) -> Mapping[str, DataFrame]:
-    """All stages chained, by name."""
-    v1 = merge_stage(folds, stations)
-    v2 = clean_stage(v1, bounds)
-    v3 = prune_stage(v2, threshold)
-    return {"v1": v1, "v2": v2, "v3": v3, "v4": fill_stage(v3)}
-
-
-
+    folds: Sequence[DataFrame],
+    stations: DataFrame,
+    root: str,
+    bounds: Bounds = BOUNDS,
+    threshold: float = MAX_MISSING_PCT,
+    max_gap: int = MAX_GAP,
+    max_extrap: int = MAX_EXTRAP,
+) -> dict[str, DataFrame]:
+    """All stages chained; each is written below ``root`` by year and read back by the next."""
+    spark = stations.sparkSession
+
+    def kept(stage: DataFrame, name: str) -> DataFrame:
+        write_years(stage, f"{root}/{name}")
+        return read_years(spark, f"{root}/{name}")
+
+    v1 = kept(merge_stage(folds, stations), "v1")
+    v2 = kept(clean_stage(v1, bounds), "v2")
+    v3 = kept(prune_stage(v2, threshold), "v3")
+    v4 = kept(fill_stage(v3, max_gap, max_extrap), "v4")
+    return {"v1": v1, "v2": v2, "v3": v3, "v4": v4}

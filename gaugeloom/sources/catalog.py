@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeloom.functions.scalar import parse_day
+
 # Fixed value: what the name of an observation file looks like.
 FILE_PATTERN = r".*_(\d{8})_(\d{8})_(\d+)\.txt$"
 
@@ -32,12 +34,11 @@ def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def interval_catalog(files: DataFrame, name: str = "file_name") -> DataFrame:
     """Station and announced interval out of file names that follow the pattern."""
     part = lambda i: F.regexp_extract(F.col(name), FILE_PATTERN, i)
-    day = lambda i: F.try_to_timestamp(part(i), F.lit("yyyyMMdd")).cast("timestamp_ntz")
     return files.filter(F.col(name).rlike(FILE_PATTERN)).select(
         *[c for c in files.columns if c != name],
         part(3).alias("station_id"),
-        day(1).alias("start_date"),
-        day(2).alias("end_date"),
+        parse_day(part(1)).alias("start_date"),
+        parse_day(part(2)).alias("end_date"),
         name,
     )
 
@@ -63,27 +64,30 @@ def extract_links(pages: DataFrame, suffix: str = ".zip", html: str = "html") ->
     )
 
 
-def expand_archives(archives: DataFrame, first_only: bool = False) -> DataFrame:
+def expand_archives(archives: DataFrame, first_only: bool = False, flush_bytes: int = 16 << 20) -> DataFrame:
     """Members of zip archives ``(archive, content)``, one row per member.
 
     ``first_only`` keeps the first member of every archive and, of members with
-    the same name, the one of the first archive by name.
+    the same name, the one of the first archive by name. Members leave a task
+    in batches of about ``flush_bytes``.
     """
+    columns = ["archive", "member_idx", "member", "content"]
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pending: list[tuple] = []
+        size = 0
         for batch in batches:
             for archive, content in zip(batch["archive"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     names = [i for i in z.infolist() if not i.is_dir()]
                     for index, info in enumerate(names[:1] if first_only else names):
-                        yield pd.DataFrame(
-                            {
-                                "archive": [archive],
-                                "member_idx": [index],
-                                "member": [info.filename],
-                                "content": [z.read(info)],
-                            }
-                        )
+                        pending.append((archive, index, info.filename, z.read(info)))
+                        size += info.file_size
+                        if size >= flush_bytes or len(pending) >= 4096:
+                            yield pd.DataFrame(pending, columns=columns)
+                            pending, size = [], 0
+        if pending:
+            yield pd.DataFrame(pending, columns=columns)
 
     rows = archives.select("archive", "content").mapInPandas(
         members, "archive string, member_idx int, member string, content binary"

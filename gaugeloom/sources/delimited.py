@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.config import FOLD_COLUMNS, SENTINEL
 from gaugeloom.functions.scalar import lenient_double, parse_time, without_sentinel
+from gaugeloom.sources.catalog import FILE_PATTERN
 
 KEY_COLUMNS = ("STATIONS_ID", "MESS_DATUM")
 # Header names of the station metadata files and the names they get.
@@ -80,11 +81,18 @@ def typed_observations(text: DataFrame, value_cols: Sequence[str], sentinel: flo
     )
 
 
+def reading_order(fold: str, file_name: Column, row: Column) -> Column:
+    """Rank of a row among rows of the same station and time: category, start date of the file, content."""
+    rank = sorted(FOLD_COLUMNS).index(fold) * 100_000_000
+    start = F.coalesce(F.regexp_extract(file_name, FILE_PATTERN, 1).try_cast("bigint"), F.lit(0))
+    return (F.lit(rank) + start) * F.lit(1 << 30) + F.pmod(F.xxhash64(row), F.lit(1 << 30))
+
+
 def read_fold(spark: SparkSession, path: str | list[str], fold: str) -> DataFrame:
-    """Typed observations of one measurement category."""
+    """Typed observations of one measurement category, ready to be merged with others."""
     measured = FOLD_COLUMNS[fold]
-    text = scan_delimited(spark, path, [*KEY_COLUMNS, *measured])
-    return typed_observations(text, measured).withColumn("fold", F.lit(fold))
+    lines = read_lines(spark, path).withColumn("order_key", reading_order(fold, F.col("file_name"), F.col("line")))
+    return typed_observations(parse_lines(lines, [*KEY_COLUMNS, *measured]), measured).withColumn("fold", F.lit(fold))
 
 
 def station_files(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.times import floor_seconds, plus_seconds
+from gaugeloom.operators.merge import to_long
 
 STEP = 4 * 3600
 LI_VARIABLES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 EVENT_VARIABLES = ("click", "error", "purchase", "signup", "view")
 BOUNDS = {v: (1.0, 200.0) for v in EVENT_VARIABLES}
 JUMP_LIMITS = {v: 100.0 for v in EVENT_VARIABLES}
-KEEP_THRESHOLD = 92.0
+KEEP_THRESHOLD = 93.2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,16 +84,7 @@ def announced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def long_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multi-year long observations: four measured variables per supplier and day."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .select(
-            F.col("l_suppkey").alias("station_id"),
-            F.col("l_shipdate").cast("timestamp_ntz").alias("time"),
-            F.year("l_shipdate").alias("year"),
-            *LI_VARIABLES,
-        )
-        .unpivot(["station_id", "time", "year"], list(LI_VARIABLES), "variable", "value")
-    )
+    return to_long(wide_lineitem(spark, sf_dir), LI_VARIABLES)
 
 
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +144,7 @@ def patchy_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = wide_lineitem(spark, sf_dir).groupBy("year", "station_id", "time").agg(
         *[F.max(F.nullif(F.col(v), F.lit(0.0))).alias(v) for v in LI_VARIABLES]
     )
-    return cells.unpivot(["station_id", "time", "year"], list(LI_VARIABLES), "variable", "value")
+    return to_long(cells, LI_VARIABLES)
 
 
 def delimited_lines(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gaugeloom.config import bounds_frame, change_frame
 from gaugeloom.functions import scalar
 from gaugeloom.operators import catalog_stats, gapfill, grid, inference, intervals, merge, profile
-from gaugeloom.session import shared_dir
+from gaugeloom.session import shared_dir, stored
 from gaugeloom.sources import catalog as files
 from gaugeloom.sources import dataset, delimited
 from workload import adapters as A
@@ -69,7 +69,7 @@ def wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.station_dedupe(A.station_versions(spark, sf_dir)).drop("ordinal")
+    return stored(grid.station_dedupe(A.station_versions(spark, sf_dir)).drop("ordinal"), "stations")
 
 
 # --- sources and sinks -----------------------------------------------------------------
@@ -112,12 +112,14 @@ def extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            contents = []
             for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"]):
                 out = io.BytesIO()
                 with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
                     z.writestr("url.txt", url)
                     z.writestr(f"page_{page_id}.html", html)
-                yield pd.DataFrame({"archive": [f"{page_id}.zip"], "content": [out.getvalue()]})
+                contents.append(out.getvalue())
+            yield pd.DataFrame({"archive": batch["page_id"].astype(str) + ".zip", "content": contents})
 
     pages = A.table(spark, sf_dir, "pages").select("page_id", "url", "html")
     archives = pages.mapInPandas(packed, "archive string, content binary")
