@@ -97,7 +97,7 @@ def read_fold(spark: SparkSession, path: str | list[str], fold: str) -> DataFram
 
 def station_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Last physical row of every station metadata file, reduced to id and position."""
-    raw = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(path)
+    raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     rows = F.filter(F.split(latin1_text(F.col("value")), "\r?\n"), lambda r: F.trim(r) != "")
     parsed = raw.select(F.col("_metadata.file_name").alias("file_name"), rows.alias("rows")).select(
         "file_name",
