@@ -45,11 +45,11 @@ def parse_time(text: Column) -> Column:
     Built from its digits, so the session's time zone has no say.
     """
     bare = F.trim(text)
-    digits = F.when(bare.rlike("^[0-9]{1,12}$"), F.lpad(bare, 12, "0"))
-    part = lambda start, length: F.substring(digits, start, length).cast("int")
-    return F.try_make_timestamp_ntz(
-        part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2), F.lit(0).cast("decimal(16,6)")
-    )
+    iso = F.lpad(bare, 12, "0")
+    for mark, position in ((":", 11), (" ", 9), ("-", 7), ("-", 5)):
+        iso = F.overlay(iso, F.lit(mark), position, 0)
+    only_digits = (F.length(bare) <= 12) & (F.translate(bare, "0123456789", "") == "")
+    return F.when(only_digits, iso.try_cast("timestamp_ntz"))
 
 
 def parse_day(text: Column) -> Column:

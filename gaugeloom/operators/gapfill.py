@@ -99,23 +99,29 @@ def _with_trends(
 ) -> DataFrame:
     """Add the forward and backward continuation next to every interpolated column ``_s_c``."""
     reach = trend_points - 1
-    sides = (
-        (FORWARD, F.col("pos"), F.first, along.rowsBetween(-reach, 0), F.lag),
-        (BACKWARD, F.col("n_pos") - 1 - F.col("pos"), F.last, along.rowsBetween(0, reach), F.lead),
-    )
-    far = {f"_far_{name}_{c}": end(f"_s_{c}").over(frame) for c in value_cols for name, _, end, frame, _ in sides}
+    sides = ((FORWARD, F.col("pos"), F.lag), (BACKWARD, F.col("n_pos") - 1 - F.col("pos"), F.lead))
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    far = {}
+    for c in value_cols:
+        # Near the border of the series the trend starts at its first or last cell,
+        # which is the first or last row of the border chunk.
+        border = {FORWARD: F.first(f"_s_{c}").over(so_far), BACKWARD: F.last(f"_s_{c}").over(whole)}
+        for name, _, shift in sides:
+            far[f"_far_{name}_{c}"] = shift(f"_s_{c}", reach).over(along)
+            far[f"_border_{name}_{c}"] = border[name]
     # The slope points away from the trend's cells; it is NULL if there is no second cell.
     slopes = {
         f"_slope_{name}_{c}": F.when(
-            room > 0, (F.col(f"_s_{c}") - F.col(f"_far_{name}_{c}")) / F.least(room, F.lit(reach))
-        )
+            room >= reach, (F.col(f"_s_{c}") - F.col(f"_far_{name}_{c}")) / F.lit(reach)
+        ).when(room > 0, (F.col(f"_s_{c}") - F.col(f"_border_{name}_{c}")) / room)
         for c in value_cols
-        for name, room, *_ in sides
+        for name, room, _ in sides
     }
     near = {
         f"_near{d}_{what}_{name}_{c}": shift(source, d).over(along)
         for c in value_cols
-        for name, _, _, _, shift in sides
+        for name, _, shift in sides
         for d in range(1, max_extrap + 1)
         for what, source in (("v", f"_s_{c}"), ("m", f"_slope_{name}_{c}"))
     }
@@ -161,17 +167,18 @@ def fill_gaps(
     cells = grid_cells(obs, axis, value_cols, series_keys, axis_keys, time, halo, chunk_cells)
     along = Window.partitionBy(*keys, "chunk").orderBy("pos")
 
-    near = {}
-    for c in value_cols:
-        cell = F.when(F.col(c).isNotNull(), F.struct("pos", F.col(c).alias("v")))
-        near[f"_l_{c}"] = F.last(cell, ignorenulls=True).over(along.rowsBetween(-max_gap, 0))
-        near[f"_r_{c}"] = F.first(cell, ignorenulls=True).over(along.rowsBetween(0, max_gap))
-    straight = {}
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    ahead = along.rowsBetween(0, max_gap)
+    near, straight = {}, {}
     for c in value_cols:
-        left, right = F.col(f"_l_{c}"), F.col(f"_r_{c}")
-        span = right["pos"] - left["pos"]
-        on_line = left["v"] + (right["v"] - left["v"]) * (F.col("pos") - left["pos"]) / span
-        straight[f"_s_{c}"] = F.coalesce(c, F.when((span > 1) & (span - 1 <= max_gap), on_line))
+        at = F.when(F.col(c).isNotNull(), F.col("pos"))
+        near[f"_lp_{c}"] = F.last(at, ignorenulls=True).over(so_far)
+        near[f"_lv_{c}"] = F.last(c, ignorenulls=True).over(so_far)
+        near[f"_rp_{c}"] = F.first(at, ignorenulls=True).over(ahead)
+        near[f"_rv_{c}"] = F.first(c, ignorenulls=True).over(ahead)
+        lp, lv, rp, rv = (F.col(f"_{n}_{c}") for n in ("lp", "lv", "rp", "rv"))
+        on_line = lv + (rv - lv) * (F.col("pos") - lp) / (rp - lp)
+        straight[f"_s_{c}"] = F.coalesce(c, F.when((rp - lp > 1) & (rp - lp - 1 <= max_gap), on_line))
     lined = cells.withColumns(near).withColumns(straight)
 
     if max_extrap > 0:

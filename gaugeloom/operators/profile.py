@@ -120,11 +120,24 @@ def variable_status(
     Row descriptions such as quality flags only take part in the first two
     checks. ``variance`` is the table of :func:`gaugeloom.operators.inference.levene`.
     """
+    counted = (
+        obs.join(F.broadcast(bounds), "variable", "left")
+        .groupBy("year", "variable")
+        .agg(
+            F.count("value").alias("present"),
+            F.count_if(F.abs("value") == float("inf")).alias("infinite"),
+            F.count_if((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))).alias("outside"),
+        )
+        .join(cube_axes(obs), "year")
+        .select(
+            "year",
+            "variable",
+            ((F.col("present") < F.col("n_stations") * F.col("n_times")) | (F.col("infinite") > 0)).alias("missing_issue"),
+            (F.col("outside") > 0).alias("range_issue"),
+        )
+    )
     parts = [
-        profile_missing(obs).select("year", "variable", F.col("has_issues").alias("missing_issue")),
-        profile_range(obs, bounds).select(
-            "year", "variable", (F.col("range_defined") & F.col("has_issues")).alias("range_issue")
-        ),
+        counted,
         temporal_jumps(obs, limits).select("year", "variable", F.col("has_issues").alias("jump_issue")),
     ]
     if variance is not None:

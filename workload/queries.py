@@ -573,8 +573,13 @@ def fill_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gap_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics of all event variables, filled together as columns of one wide table."""
-    wide = scalar.apply_filters(wide_values(spark, sf_dir), A.BOUNDS)
+    """Statistics of all event variables, filled together as columns of one wide table.
+
+    The cleaned table is written by year first, as a full run does between its stages.
+    """
+    path = shared_dir(spark, "cleaned")
+    dataset.write_years(scalar.apply_filters(wide_values(spark, sf_dir), A.BOUNDS), path)
+    wide = dataset.read_years(spark, path)
     return gapfill.fill_stats(gapfill.fill_gaps(wide, A.EVENT_VARIABLES), A.EVENT_VARIABLES)
 
 
