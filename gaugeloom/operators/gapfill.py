@@ -148,10 +148,12 @@ def fill_gaps(
     max_extrap: int = MAX_EXTRAP,
     trend_points: int = TREND_POINTS,
     chunk_cells: int = CHUNK_CELLS,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Densify, interpolate and extrapolate every value column.
 
-    Returns ``axis_keys, series_keys, time, pos`` and per value column ``c`` the
+    Columns in ``carried`` travel along unfilled. Returns ``axis_keys,
+    series_keys, time, pos``, these, and per value column ``c`` the
     filled ``c`` plus ``c_method``, one of ``observed``, ``interpolated``,
     ``extrapolated_forward``, ``extrapolated_backward`` and ``missing``.
     Wide tables pass all their variables at once and are shuffled once.
@@ -164,7 +166,7 @@ def fill_gaps(
     keys = [*axis_keys, *series_keys]
     halo = max_gap + max_extrap + trend_points
     axis = time_axis(obs, axis_keys, time)
-    cells = grid_cells(obs, axis, value_cols, series_keys, axis_keys, time, halo, chunk_cells)
+    cells = grid_cells(obs, axis, [*value_cols, *carried], series_keys, axis_keys, time, halo, chunk_cells)
     along = Window.partitionBy(*keys, "chunk").orderBy("pos")
 
     so_far = along.rowsBetween(Window.unboundedPreceding, 0)
@@ -197,9 +199,9 @@ def fill_gaps(
     own = F.floor(F.col("pos") / F.lit(chunk_cells)) == F.col("chunk")
     return (
         lined.filter(own)
-        .select(*keys, "pos", *filled)
+        .select(*keys, "pos", *carried, *filled)
         .join(axis.drop("n_pos"), [*axis_keys, "pos"])
-        .select(*keys, time, "pos", *[c for v in value_cols for c in (v, f"{v}_method")])
+        .select(*keys, time, "pos", *carried, *[c for v in value_cols for c in (v, f"{v}_method")])
     )
 
 

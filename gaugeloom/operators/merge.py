@@ -14,6 +14,21 @@ def union_folds(folds: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), folds)
 
 
+def existing_variables(folds: Sequence[DataFrame], ids: Sequence[str] = ("station_id", "time")) -> DataFrame:
+    """Years in which a variable exists: those with rows of a category that has the column.
+
+    One row per year and variable, whether or not any of its values is valid.
+    """
+    skip = {"year", "order_key", "fold", "file_name", *ids}
+    years = [
+        f.select("year")
+        .distinct()
+        .select("year", F.explode(F.array(*[F.lit(c) for c in f.columns if c not in skip])).alias("variable"))
+        for f in folds
+    ]
+    return union_folds(years).distinct()
+
+
 def first_non_null(
     df: DataFrame,
     value_cols: Sequence[str],

@@ -7,6 +7,8 @@ the number of distinct stations and times of a year, the cube is never built.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +37,38 @@ def profile_missing(obs: DataFrame) -> DataFrame:
         F.count("value").alias("present"),
         F.count_if(F.abs("value") == float("inf")).alias("inf_count"),
     )
+    return _missing_profile(present, cube_axes(obs))
+
+
+def profile_missing_wide(
+    obs: DataFrame, variables: Sequence[str], existing: DataFrame | None = None
+) -> DataFrame:
+    """The same for a table with one column per variable, without a row per variable and cell.
+
+    ``existing`` limits the profile to the ``(year, variable)`` pairs it lists,
+    because a column of a wide table is there in all years.
+    """
+    counts = obs.groupBy("year").agg(
+        *[F.count(c).alias(f"n|{c}") for c in variables],
+        *[F.count_if(F.abs(c) == float("inf")).alias(f"inf|{c}") for c in variables],
+    )
+    per_variable = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("variable"), F.col(f"n|{c}").alias("present"), F.col(f"inf|{c}").alias("inf_count")
+            )
+            for c in variables
+        ]
+    )
+    present = counts.select("year", F.inline(per_variable))
+    if existing is not None:
+        present = present.join(existing, ["year", "variable"], "left_semi")
+    return _missing_profile(present, cube_axes(obs))
+
+
+def _missing_profile(present: DataFrame, axes: DataFrame) -> DataFrame:
     return (
-        present.join(cube_axes(obs), "year")
+        present.join(axes, "year")
         .withColumn("total_values", F.col("n_stations") * F.col("n_times"))
         .withColumn("missing_count", F.col("total_values") - F.col("present"))
         .select(

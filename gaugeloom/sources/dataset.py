@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 def write_years(df: DataFrame, path: str, year: str = "year") -> None:
     """Replace the years that occur in ``df`` and leave all others as they are.
 
-    Rows are written by the tasks that hold them, so a year of any size is
-    written in parallel.
+    Rows are first brought together by year into pieces of the advisory
+    partition size, so there are few files per year, and a year of any size is
+    split over many tasks.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", year)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(year)
         .parquet(path)

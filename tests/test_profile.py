@@ -111,3 +111,22 @@ def test_stations_dedupe_before_the_join(spark):
     assert constants == {1: 51.0, 2: None}
     checks = profile.coordinate_checks(obs(spark, ROWS), stations, bounds_frame(spark, BOUNDS))
     assert {r.missing_count for r in checks.filter("year = 2000").collect()} == {1}
+
+
+def test_wide_profile_equals_the_long_one(spark):
+    wide = spark.createDataFrame(
+        [(2000, 1, 1, 1.0, None), (2000, 2, 2, None, INF), (2001, 1, 1, 2.0, 3.0)],
+        "year int, station_id int, time int, a double, b double",
+    )
+    long = profile.profile_missing(merge.to_long(wide, ["a", "b"])).collect()
+    assert sorted(long) == sorted(profile.profile_missing_wide(wide, ["a", "b"]).collect())
+
+
+def test_only_years_of_a_category_count(spark):
+    a = spark.createDataFrame([(2000, 1, 1, 1.0), (2001, 1, 1, None)], "year int, station_id int, time int, a double")
+    b = spark.createDataFrame([(2001, 1, 1, 2.0)], "year int, station_id int, time int, b double")
+    existing = merge.existing_variables([a, b])
+    assert sorted(map(tuple, existing.collect())) == [(2000, "a"), (2001, "a"), (2001, "b")]
+    wide = merge.union_folds([a, b]).groupBy("year", "station_id", "time").agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    pooled = profile.global_missing_pct(profile.profile_missing_wide(wide, ["a", "b"], existing))
+    assert {r.variable: r.missing_pct for r in pooled.collect()} == {"a": 50.0, "b": 0.0}

@@ -121,6 +121,7 @@ def test_years_are_replaced_one_by_one(spark, tmp_path):
     dataset.write_years(table, path)
     dataset.write_years(spark.createDataFrame([(2001, 9)], "year int, v int"), path)
     assert sorted((r.year, r.v) for r in dataset.read_years(spark, path).collect()) == [(2000, 1), (2001, 9)]
+    assert len(list((tmp_path / "data" / "year=2001").glob("*.parquet"))) == 1
     plan = dataset.read_years(spark, path).filter("year = 2000")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
     empty = str(tmp_path / "empty")
