@@ -232,10 +232,10 @@ def ks_normality(obs: DataFrame, min_values: int = MIN_VALUES_DISTRIBUTION, alph
 
 
 def distribution_by_variable(checks: DataFrame) -> DataFrame:
-    """Means of the yearly distribution checks, with their bands and a class per variable."""
+    """Means of the yearly distribution checks, with their bands, ranks and a class per variable."""
     p, share = F.col("mean_p"), F.col("normal_pct")
     skew, kurt = F.abs("mean_skewness"), F.abs("mean_kurtosis")
-    return (
+    pooled = (
         checks.groupBy("variable")
         .agg(
             F.count(F.lit(1)).alias("n_years"),
@@ -253,3 +253,7 @@ def distribution_by_variable(checks: DataFrame) -> DataFrame:
             F.when(share > 80, "normal").when(share > 50, "moderate").otherwise("non-normal"),
         )
     )
+    orders = {"p_rank": p.asc(), "normal_rank": share.desc(), "skewness_rank": skew.desc(), "kurtosis_rank": kurt.desc()}
+    for name, order in orders.items():
+        pooled = with_rank(pooled, order, name=name)
+    return pooled

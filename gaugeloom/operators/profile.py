@@ -262,9 +262,9 @@ def cleaning_report(stats: DataFrame) -> DataFrame:
     return _with_removed(pooled)
 
 
-def with_rank(df: DataFrame, *order: Column) -> DataFrame:
+def with_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """Report position by a metric; one row per variable comes in, so one task suffices."""
-    return df.withColumn("rank", F.rank().over(Window.orderBy(*order)))
+    return df.withColumn(name, F.rank().over(Window.orderBy(*order)))
 
 
 def completeness_by_variable(missing: DataFrame) -> DataFrame:

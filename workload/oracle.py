@@ -688,7 +688,9 @@ ORACLE: dict[str, str] = {
          round(ku, 6) AS mean_kurtosis, CASE WHEN p > 0.05 THEN 'green' ELSE 'red' END AS p_band,
          {banded("share", "> 80", "> 50")} AS normal_band, {banded("abs(sk)", "< 0.5", "< 1")} AS skewness_band,
          {banded("abs(ku)", "< 1", "< 3")} AS kurtosis_band,
-         CASE WHEN share > 80 THEN 'normal' WHEN share > 50 THEN 'moderate' ELSE 'non-normal' END AS distribution_class
+         CASE WHEN share > 80 THEN 'normal' WHEN share > 50 THEN 'moderate' ELSE 'non-normal' END AS distribution_class,
+         rank() OVER (ORDER BY p) AS p_rank, rank() OVER (ORDER BY share DESC) AS normal_rank,
+         rank() OVER (ORDER BY abs(sk) DESC) AS skewness_rank, rank() OVER (ORDER BY abs(ku) DESC) AS kurtosis_rank
          FROM (SELECT variable, count(*) AS n_years, avg(ks_p) AS p, avg(is_normal::INTEGER) * 100 AS share,
                avg(skewness) AS sk, avg(kurtosis) AS ku FROM ks GROUP BY variable)""",
     # gap filling

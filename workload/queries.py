@@ -542,7 +542,10 @@ def ks_normality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def distribution_by_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
     pooled = inference.distribution_by_variable(inference.ks_normality(A.long_lineitem(spark, sf_dir)))
-    return rounded(pooled, "mean_p", "normal_pct", "mean_skewness", "mean_kurtosis")
+    ranks = ("p_rank", "normal_rank", "skewness_rank", "kurtosis_rank")
+    return rounded(pooled, "mean_p", "normal_pct", "mean_skewness", "mean_kurtosis").withColumns(
+        {c: F.col(c).cast("bigint") for c in ranks}
+    )
 
 
 # --- gap filling -------------------------------------------------------------------------------------------
