@@ -34,11 +34,16 @@ def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def interval_catalog(files: DataFrame, name: str = "file_name") -> DataFrame:
     """Station and announced interval out of file names that follow the pattern."""
     part = lambda i: F.regexp_extract(F.col(name), FILE_PATTERN, i)
-    return files.filter(F.col(name).rlike(FILE_PATTERN)).select(
-        *[c for c in files.columns if c != name],
-        part(3).alias("station_id"),
-        parse_day(part(1)).alias("start_date"),
-        parse_day(part(2)).alias("end_date"),
+    kept = [c for c in files.columns if c != name]
+    # The parts are columns of their own, so each is cut out of the name once.
+    parts = files.filter(F.col(name).rlike(FILE_PATTERN)).withColumns(
+        {"station_id": part(3), "_start": part(1), "_end": part(2)}
+    )
+    return parts.select(
+        *kept,
+        "station_id",
+        parse_day(F.col("_start")).alias("start_date"),
+        parse_day(F.col("_end")).alias("end_date"),
         name,
     )
 
