@@ -75,8 +75,7 @@ def _grow(n: int) -> None:
     global _powers, _inverse
     if len(_powers) < n:
         back = np.uint64(pow(int(STEP), -1, 1 << 64))
-        _powers = np.cumprod(np.concatenate([[1], np.full(n, STEP)]).astype(np.uint64), dtype=np.uint64)
-        _inverse = np.cumprod(np.concatenate([[1], np.full(n, back)]).astype(np.uint64), dtype=np.uint64)
+        _powers, _inverse = (np.cumprod(np.r_[np.ones(1, np.uint64), np.full(n, step)]) for step in (STEP, back))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
