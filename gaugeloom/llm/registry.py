@@ -4,17 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloom.llm import simhash, substring
+from gaugeloom.llm import packing, records, simhash, substring
 from gaugeloom.llm.common import table
+from gaugeloom.session import shared_dir
+
+#: A public vocabulary file, installed on every machine.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "records")
+    folder = folder if ":/" in folder else f"file://{folder}"
+    manifest = records.write_records(table(spark, sf_dir, "documents"), VOCABULARY, folder)
+    back = records.read_records(spark, manifest, folder)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -22,6 +40,8 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_packing": op4_packing,
+    "op5_records": op5_records,
     "op10_substring": op10_substring,
 }
 
