@@ -1,8 +1,10 @@
 """Token ids of whole batches of texts from a public vocabulary file.
 
 White space always ends a token of this kind of vocabulary, so a text is split
-at ASCII white space and each distinct chunk is encoded once. Chunks not seen before
-are encoded many at a time, joined by a special token, because a call costs more than a chunk.
+at ASCII white space and each distinct chunk is encoded once. Most new chunks
+are letters with some punctuation behind, which this kind of vocabulary also parts: their
+letters are encoded many at a time, joined by spaces, as each of them is one word
+with one end token. Other chunks are joined by a special token.
 """
 
 from __future__ import annotations
@@ -12,9 +14,13 @@ from functools import lru_cache
 
 import numpy as np
 
+from gaugeloom.llm import words as wd
+
 #: Chunks a worker remembers before it begins anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
 JOINED = 2000
+TAIL = b".,;:!?"
+END = "</w>"
 
 
 class Encoder:
@@ -31,6 +37,10 @@ class Encoder:
         self.join = special[0].content if special else None
         self.join_id = self.tokenizer.token_to_id(self.join) if special else None
         self.names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(END)]] = True
+        self.parted = bool(self.ends.any()) and "\\p{L}" in self.tokenizer.to_str()[:2000]
         self.seen: dict[bytes, bytes] = {}
 
     def _raw(self, text: str) -> np.ndarray:
@@ -38,34 +48,77 @@ class Encoder:
         return np.array(found, dtype=self.kind)
 
     def _learn(self, chunks: list[bytes]) -> None:
-        plain = [(c, c.decode()) for c in chunks]
-        odd = [p for p in plain if self.join is None or any(n in p[1] for n in self.names)]
-        for chunk, text in odd:
-            self.seen[chunk] = self._raw(text).tobytes()
-        if odd:
-            plain = [p for p in plain if p[0] not in self.seen]
+        """Letters with or without punctuation behind go one way, all else the other."""
+        parts, others = [], []
+        for chunk in chunks:
+            body = chunk.rstrip(TAIL)
+            key = body.lower()
+            if self.parted and (key.isalpha() or (key and not key.isascii() and key.decode().isalpha())):
+                parts.append((chunk, key, chunk[len(body) :]))
+            else:
+                others.append(chunk)
+        letters: dict[bytes, bytes | None] = {key: self.seen.get(key) for _, key, _ in parts}
+        others.extend(t for t in {t for _, _, t in parts} if t and t not in self.seen)
+        new = [k for k, v in letters.items() if v is None]
+        for at in range(0, len(new), JOINED):
+            some = new[at : at + JOINED]
+            ids = self._raw(b" ".join(some).decode())
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some):
+                letters.update(self._cut(some, ids, np.r_[0, cuts[:-1]], cuts))
+            else:  # a letter that is no single letter in lower case
+                letters.update((k, self._raw(k.decode()).tobytes()) for k in some)
+        self._learn_others(others)
+        for chunk, key, tail in parts:
+            ids = letters[key]
+            self.seen[chunk] = ids + self.seen[tail] if tail else ids
+
+    def _cut(self, chunks: list[bytes], ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> dict[bytes, bytes]:
+        raw, width = ids.tobytes(), self.kind.itemsize
+        pairs = zip(chunks, (begins * width).tolist(), (ends * width).tolist(), strict=True)
+        return {chunk: raw[a:b] for chunk, a, b in pairs}
+
+    def _learn_others(self, chunks: list[bytes]) -> None:
+        odd = {c for c in chunks if self.join is None or any(n.encode() in c for n in self.names)}
+        for chunk in odd:
+            self.seen[chunk] = self._raw(chunk.decode()).tobytes()
+        plain = [c for c in chunks if c not in odd]
         for at in range(0, len(plain), JOINED):
-            part = plain[at : at + JOINED]
-            ids = self._raw(self.join.join(text for _, text in part))
+            some = plain[at : at + JOINED]
+            ids = self._raw(self.join.join(c.decode() for c in some))
             cuts = np.flatnonzero(ids == self.join_id)
-            raw, width = ids.tobytes(), self.kind.itemsize
-            begins, ends = np.r_[0, cuts + 1] * width, np.r_[cuts, len(ids)] * width
-            for (chunk, _), a, b in zip(part, begins.tolist(), ends.tolist(), strict=True):
-                self.seen[chunk] = raw[a:b]
+            self.seen.update(self._cut(some, ids, np.r_[0, cuts + 1], np.r_[cuts, len(ids)]))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        out = []
-        for at in range(0, len(texts), 256):
-            chunks = [t.split() for t in texts[at : at + 256]]
-            new = set().union(*chunks).difference(self.seen)
+        out: list[bytes] = []
+        for a, b in wd.pieces(texts):
+            out.extend(self._piece(texts[a:b]))
+        return out
+
+    def _piece(self, texts: list[bytes]) -> list[bytes]:
+        """Each distinct chunk of the texts is looked up once; 64-bit hashes tell chunks apart within these texts."""
+        words = wd.find_words(texts)
+        if not len(words.start):
+            return [b""] * len(texts)
+        _, where, which = np.unique(wd.hashes(words), return_index=True, return_inverse=True)
+        data = words.data.tobytes()
+        chunks = [data[a:b] for a, b in zip(words.start[where].tolist(), words.stop[where].tolist(), strict=True)]
+        found = list(map(self.seen.get, chunks))
+        new = [c for c, ids in zip(chunks, found, strict=True) if ids is None]
+        if new:
             if len(self.seen) + len(new) > self.remembered:
                 self.seen.clear()
-                new = set().union(*chunks)
-            if new:
-                self._learn(sorted(new))
-            get = self.seen.__getitem__
-            out.extend(b"".join(map(get, c)) for c in chunks)
-        return out
+                new = chunks
+            self._learn(new)
+            found = list(map(self.seen.__getitem__, chunks))
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.kind.itemsize
+        begin = np.cumsum(size) - size
+        taken = size[which]
+        upto = np.cumsum(taken)
+        at = np.arange(upto[-1]) + np.repeat(begin[which] - (upto - taken), taken)
+        ids = np.frombuffer(b"".join(found), dtype=self.kind)[at]
+        cuts = np.r_[0, upto][words.first].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 @lru_cache(maxsize=2)
