@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloom.llm import packing, records, simhash, substring
+from gaugeloom.llm import hosts, lines, packing, records, simhash, substring
 from gaugeloom.llm.common import table
 from gaugeloom.session import shared_dir
 
@@ -33,6 +33,19 @@ def op5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome of a page is that of the labelled document with its number: bad if toxic or of low quality."""
+    labels = table(spark, sf_dir, "labels")
+    bad = (F.coalesce("toxic", F.lit(0)) == 1) | (F.coalesce("quality", F.lit(1)) == 0)
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return hosts.filter_pages(table(spark, sf_dir, "pages"), outcomes).drop("bound")
+
+
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedupe_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -42,6 +55,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
     "op5_records": op5_records,
+    "op6_hosts": op6_hosts,
+    "op8_lines": op8_lines,
     "op10_substring": op10_substring,
 }
 
