@@ -160,9 +160,9 @@ def _pack(path: str, capacity: int, end_id: int, most_open: int):
 
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
-            for at in range(0, batch.num_rows, 512):
-                doc_ids = ids.slice(at, 512).to_pylist()
-                for doc_id, raw in zip(doc_ids, encode.encode(texts.slice(at, 512).to_pylist()), strict=True):
+            for at in range(0, batch.num_rows, 1024):
+                doc_ids = ids.slice(at, 1024).to_pylist()
+                for doc_id, raw in zip(doc_ids, encode.encode(texts.slice(at, 1024).to_pylist()), strict=True):
                     raw += end
                     held[number] = [doc_id, raw, len(raw) // width]
                     packer.place(number, len(raw) // width)

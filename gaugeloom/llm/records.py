@@ -160,8 +160,8 @@ def _write(path: str, folder: str, end_id: int, file_bytes: int):
         end = np.array([end_id], dtype=encode.kind).tobytes()
         width, part, done, file = encode.kind.itemsize, TaskContext.get().partitionId(), [], None
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 1024):
+                rows = batch.slice(at, 1024)
                 raw = encode.encode(rows.column(1).cast(pa.binary()).to_pylist())
                 heads = [struct.pack(HEAD, i is not None, width, i or 0) for i in rows.column(0).to_pylist()]
                 file = file or _File(folder, f"{part:08d}-{len(done):06d}")

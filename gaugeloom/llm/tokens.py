@@ -19,6 +19,8 @@ from gaugeloom.llm import words as wd
 #: Chunks a worker remembers before it begins anew.
 REMEMBERED = 1_200_000
 JOINED = 2000
+#: Text looked up together; the longer, the rarer a chunk is looked up again.
+PIECE_BYTES = 4_000_000
 TAIL = b".,;:!?"
 END = "</w>"
 
@@ -68,6 +70,7 @@ class Encoder:
                 letters.update(self._cut(some, ids, np.r_[0, cuts[:-1]], cuts))
             else:  # a letter that is no single letter in lower case
                 letters.update((k, self._raw(k.decode()).tobytes()) for k in some)
+        self.seen.update(letters)
         self._learn_others(others)
         for chunk, key, tail in parts:
             ids = letters[key]
@@ -91,7 +94,7 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         out: list[bytes] = []
-        for a, b in wd.pieces(texts):
+        for a, b in wd.pieces(texts, PIECE_BYTES):
             out.extend(self._piece(texts[a:b]))
         return out
 
