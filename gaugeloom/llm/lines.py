@@ -32,7 +32,7 @@ _LINE = ["doc_id", "text_key", "line_no"]
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, _GAP), lambda w: w != "")
+    return F.array_remove(F.split(line, _GAP), "")
 
 
 def _half(side: str, n: Column, size: Column) -> Column:
@@ -66,18 +66,19 @@ def _with_words(unique: DataFrame, rows: DataFrame) -> DataFrame:
     lines = rows.join(places, ["doc_id", "text_key"]).select("places", F.split("text", "\n").alias("lines"))
     found = lines.select(F.explode(F.transform("places", lambda p: F.struct(p.h1.alias("h1"), p.h2.alias("h2"), p.first.alias("at"), F.get("lines", p.line_no).alias("line")))).alias("p"))
     once = found.select("p.h1", "p.h2", "p.at", "p.line").dropDuplicates(["h1", "h2"])  # a repeated row brings its lines again
-    return once.select("h1", "h2", "at", _words(F.col("line")).alias("words")).withColumn("n", F.size("words"))
+    ranked = once.orderBy("at").withColumn("id", F.monotonically_increasing_id())
+    return ranked.select("h1", "h2", "id", _words(F.col("line")).alias("words")).withColumn("n", F.size("words"))
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(at, n, j, variant) for each deletion of word j, and the hash of the whole line on every row."""
-    whole = W.partitionBy("h1", "h2")
+    """(id, n, j, variant) for each deletion of word j."""
+    whole = W.partitionBy("id")
     so_far = whole.orderBy("j")
-    each = lines.select("h1", "h2", "at", "n", F.posexplode("words").alias("j", "word"))
-    kept = each.select("h1", "h2", "at", "n", "j", F.xxhash64("word", "j").alias("stay"), F.xxhash64("word", F.col("j") - 1).alias("move"))
+    each = lines.select("id", "n", F.posexplode("words").alias("j", "word"))
+    kept = each.select("id", "n", "j", F.xxhash64("word", "j").alias("stay"), F.xxhash64("word", F.col("j") - 1).alias("move"))
     before = F.coalesce(F.bit_xor("stay").over(so_far.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
     behind = F.bit_xor("move").over(whole).bitwiseXOR(F.bit_xor("move").over(so_far.rowsBetween(W.unboundedPreceding, 0)))
-    return kept.select("at", "n", "j", before.bitwiseXOR(behind).alias("variant"))
+    return kept.select("id", "n", "j", before.bitwiseXOR(behind).alias("variant"))
 
 
 def _without(words: str, j: str) -> Column:
@@ -90,23 +91,23 @@ def _whole_hash() -> Column:
 
 
 def _near(lines: DataFrame) -> DataFrame:
-    """(at) of the lines that have an earlier line within one edit; ``lines`` is stored."""
-    variants = _variants(lines)
-    whole = lines.select("at", "n", _whole_hash().alias("variant"))
+    """(h1, h2) of the lines that have an earlier line within one edit; ``lines`` is stored, its ids rise with the place."""
+    variants = stored(_variants(lines), "variants")
+    whole = lines.select("id", "n", _whole_hash().alias("variant"))
     place = ["n", "j", "variant"]
-    first = variants.groupBy(place).agg(F.min("at").alias("other"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    changed = variants.join(first, place).where("at > other").select("at", "other", "j", F.lit("both").alias("cut"))
-    shorter = variants.withColumn("n", F.col("n") - 1)
-    longer_later = shorter.join(whole.withColumnRenamed("at", "other"), ["n", "variant"]).where("at > other")
-    longer_later = longer_later.select("at", "other", "j", F.lit("at").alias("cut"))
-    longer = shorter.groupBy("n", "variant").agg(F.min(F.struct("at", "j")).alias("x"))
-    longer_first = whole.join(longer, ["n", "variant"]).where("at > x.at").select("at", F.col("x.at").alias("other"), "x.j", F.lit("other").alias("cut"))
-    pairs = changed.union(longer_later).union(longer_first)
-    words = lines.select("at", "words")
-    texts = pairs.join(words, "at").join(words.select(F.col("at").alias("other"), F.col("words").alias("others")), "other")
+    first = variants.groupBy(place).agg(F.min("id").alias("other"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    changed = variants.join(first, place).where("id > other").select("id", "other", "j", F.lit("both").alias("cut"))
+    # A line one word longer that becomes equal to a whole one.
+    shorter = variants.withColumn("n", F.col("n") - 1).join(whole.withColumnRenamed("id", "other"), ["n", "variant"])
+    ends = F.when(F.col("id") > F.col("other"), F.struct("id", "other", "j", F.lit("id").alias("cut"))).otherwise(
+        F.struct(F.col("other").alias("id"), F.col("id").alias("other"), "j", F.lit("other").alias("cut"))
+    )
+    pairs = changed.union(shorter.select(ends.alias("e")).select("e.*"))
+    words = lines.select("id", "words")
+    texts = pairs.join(words, "id").join(words.select(F.col("id").alias("other"), F.col("words").alias("others")), "other")
     own = F.when(F.col("cut") == "other", F.col("words")).otherwise(_without("words", "j"))
-    others = F.when(F.col("cut") == "at", F.col("others")).otherwise(_without("others", "j"))
-    return texts.where(own == others).select("at").distinct()
+    others = F.when(F.col("cut") == "id", F.col("others")).otherwise(_without("others", "j"))
+    return texts.where(own == others).select("id").distinct().join(lines.select("id", "h1", "h2"), "id").select("h1", "h2")
 
 
 def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -130,7 +131,7 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     unique = stored(unique, "unique-lines")
     chosen = unique.where(F.col("n") >= min_words).join(_candidates(unique), ["h1", "h2"])
     lines = stored(_with_words(chosen, rows), "candidate-lines")
-    near = _near(lines).join(lines.select("at", "h1", "h2"), "at").select("h1", "h2", F.lit(True).alias("near"))
+    near = _near(lines).withColumn("near", F.lit(True))
     marked = unique.join(near, ["h1", "h2"], "left").where("c > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     gone = seen.select(*_LINE, "h1", "h2").join(marked, ["h1", "h2"]).where(F.col("near") | (F.struct(*_LINE) != F.col("first")))
     lists = gone.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))
