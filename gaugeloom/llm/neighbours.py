@@ -28,12 +28,12 @@ from gaugeloom.llm.common import partitions
 
 PROJECTIONS = 80
 #: Collisions from which on a vector is verified.
-THRESHOLD = 57
+THRESHOLD = 63
 #: Share of a block that is verified before a search ends, and how many there are at least for each neighbour asked for.
-SHARE = 0.28
+SHARE = 0.25
 AT_LEAST = 4
 #: Half-width of the first windows in standard deviations of the projections, and how much each round widens them.
-FIRST = 1.4
+FIRST = 1.6
 WIDEN = 1.15
 BLOCK = 8192
 QUERIES = 2048
@@ -51,15 +51,30 @@ def _matrix(column: pa.ChunkedArray, size: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size).astype(np.float64)
 
 
-def _candidates(arrays: np.ndarray, order: np.ndarray, centre: np.ndarray, unit: float, enough: int, threshold: int) -> np.ndarray:
-    """Numbers of the vectors that collide with one query often enough."""
-    n, width = arrays.shape[1], FIRST * unit
-    while True:
-        hits = [o[np.searchsorted(a, c - width) : np.searchsorted(a, c + width, side="right")] for a, o, c in zip(arrays, order, centre, strict=True)]
-        found = np.flatnonzero(np.bincount(np.concatenate(hits), minlength=n) >= threshold)
-        if len(found) >= enough:
-            return found
-        width *= WIDEN
+def _collisions(order: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """In how many arrays each vector lies in the window; counted from whichever side of the borders holds less."""
+    arrays, n = order.shape
+    if 2 * int((high - low).sum()) <= arrays * n:
+        return np.bincount(np.concatenate([o[a:b] for o, a, b in zip(order, low, high, strict=True)]), minlength=n)
+    outside = [o[:a] for o, a in zip(order, low, strict=True)] + [o[b:] for o, b in zip(order, high, strict=True)]
+    return arrays - np.bincount(np.concatenate(outside), minlength=n)
+
+
+def _candidates(arrays: np.ndarray, order: np.ndarray, centres: np.ndarray, unit: float, enough: int, threshold: int) -> list[np.ndarray]:
+    """For each query (a column of ``centres``) the numbers of the vectors that collide with it often enough."""
+    out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * centres.shape[1]
+    width, waiting = FIRST * unit, np.arange(centres.shape[1])
+    while len(waiting):
+        own = centres[:, waiting]
+        low = np.stack([np.searchsorted(a, c - width) for a, c in zip(arrays, own, strict=True)])
+        high = np.stack([np.searchsorted(a, c + width, side="right") for a, c in zip(arrays, own, strict=True)])
+        few = []
+        for at, q in enumerate(waiting.tolist()):
+            out[q] = np.flatnonzero(_collisions(order, low[:, at], high[:, at]) >= threshold)
+            if len(out[q]) < enough:
+                few.append(q)
+        waiting, width = np.array(few, dtype=np.int64), width * WIDEN
+    return out
 
 
 def _search(k: int, size: int, longest: float, projections: int, threshold: int, share: float):
@@ -78,10 +93,12 @@ def _search(k: int, size: int, longest: float, projections: int, threshold: int,
         aimed = axes[:, :size] @ (queries * (longest / np.linalg.norm(queries, axis=1))[:, None]).T
         enough = min(len(ids), max(AT_LEAST * (k + 1), math.ceil(share * len(ids))))
         rows = []
-        for q, centre, query in zip(query_ids.tolist(), aimed.T, queries, strict=True):
-            found = _candidates(arrays, order, centre, longest, enough, threshold)
+        for q, found, query in zip(query_ids.tolist(), _candidates(arrays, order, aimed, longest, enough, threshold), queries, strict=True):
             found = found[ids[found] != q]
             score = vectors[found] @ query
+            if len(score) > k:  # all that tie with the last one stay until ties are broken
+                near = score >= np.partition(score, -k)[-k]
+                found, score = found[near], score[near]
             best = np.lexsort((ids[found], -score))[:k]
             rows.append((np.full(len(best), q), ids[found][best], score[best]))
         columns = [np.concatenate(c) for c in zip(*rows, strict=True)]

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloom.llm import hosts, lines, neighbours, packing, records, simhash, substring
+from gaugeloom.llm import hosts, language, lines, neighbours, packing, records, simhash, substring
 from gaugeloom.llm.common import table
 from gaugeloom.session import shared_dir
 
@@ -16,6 +16,17 @@ from gaugeloom.session import shared_dir
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def held_out() -> Column:
+    """Documents that no model learns from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~held_out()))
+    return language.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +68,7 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language": op2_language,
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
     "op5_records": op5_records,

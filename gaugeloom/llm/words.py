@@ -50,10 +50,11 @@ def pieces(texts: list[bytes], limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         yield begin, len(texts)
 
 
-def find_words(texts: list[bytes]) -> Words:
+def find_words(texts: list[bytes], space: np.ndarray = SPACE) -> Words:
+    """``space`` tells for each byte whether it parts words."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
-    solid = ~SPACE[data]
+    solid = ~space[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[0] = True
     edge[ends] = True
