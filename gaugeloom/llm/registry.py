@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloom.llm import hosts, language, lines, neighbours, packing, records, simhash, substring
+from gaugeloom.llm import hosts, language, latent, lines, neighbours, packing, records, simhash, substring
 from gaugeloom.llm.common import table
 from gaugeloom.session import shared_dir
 
@@ -52,6 +52,11 @@ def op6_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.filter_pages(table(spark, sf_dir, "pages"), outcomes).drop("bound")
 
 
+def op7_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = latent.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "cosine", "share", "answered")
+
+
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedupe_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_records": op5_records,
     "op6_hosts": op6_hosts,
+    "op7_latent": op7_latent,
     "op8_lines": op8_lines,
     "op9_neighbours": op9_neighbours,
     "op10_substring": op10_substring,
