@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloom.llm import hosts, language, latent, lines, neighbours, packing, records, simhash, substring
+from gaugeloom.llm import hosts, language, latent, licenses, lines, neighbours, packing, records, simhash, substring
 from gaugeloom.llm.common import table
 from gaugeloom.session import shared_dir
 
@@ -16,6 +16,10 @@ from gaugeloom.session import shared_dir
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).select("doc_id", "license", "shared", "of", "first_word")
+
+
 def held_out() -> Column:
     """Documents that no model learns from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
@@ -31,11 +35,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.pack(docs, VOCABULARY)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "records")
     folder = folder if ":/" in folder else f"file://{folder}"
@@ -73,6 +81,7 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_language": op2_language,
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
