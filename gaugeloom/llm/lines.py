@@ -28,6 +28,7 @@ from gaugeloom.llm.common import stored, text_or_empty
 MIN_WORDS = 8
 _GAP = r"[\x20\x09-\x0D]+"
 _SOLID = r"[^\x20\x09-\x0D]"
+_ADDED = ("text_key", "n_lines", "n_removed", "n_left")
 _LINE = ["doc_id", "text_key", "line_no"]
 
 
@@ -43,14 +44,17 @@ def _half(side: str, n: Column, size: Column) -> Column:
 def _occurrences(rows: DataFrame, min_words: int) -> DataFrame:
     """One row per line that has a word: where it stands, two hashes of its words, keys of its halves."""
     n, small, large = F.col("n"), F.floor((F.col("n") - 1) / 2).cast("int"), F.floor(F.col("n") / 2).cast("int")
-    halves = F.array_distinct(F.array(*(_half(side, n, size) for side in ("first", "last") for size in (small, large))))
-    return (
+    sides = {f"{side}_{k}": _half(side, n, size) for side in ("first", "last") for k, size in (("small", small), ("large", large))}
+    counted = (
         rows.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .select(*_LINE, _words(F.col("line")).alias("words"))
         .withColumn("n", F.size("words"))
         .where("n > 0")
-        .select(*_LINE, F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"), "n", F.when(n >= min_words, halves).alias("halves"))
     )
+    halved = counted.select(*_LINE, "n", F.xxhash64("words").alias("h1"), F.get("words", large).alias("middle"), *(c.alias(k) for k, c in sides.items()))
+    # The second hash is that of both halves and the word between or behind them.
+    second = F.xxhash64("n", "first_large", "middle", "last_large").alias("h2")
+    return halved.select(*_LINE, "h1", second, "n", F.when(n >= min_words, F.array_distinct(F.array(*sides))).alias("halves"))
 
 
 def _candidates(unique: DataFrame) -> DataFrame:
@@ -111,21 +115,21 @@ def _near(lines: DataFrame) -> DataFrame:
 
 
 def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Each document of ``docs`` (doc_id, text; other columns are ignored) without its repeated lines.
+    """``docs`` (doc_id, text; all columns are kept) without their repeated lines.
 
-    Result: doc_id, text_key (hash of the text that came in), text (what is
-    left), n_lines, n_removed, n_left (lines left that have a word).
+    Added are text_key (hash of the text that came in), n_lines, n_removed and n_left
+    (lines left that have a word); columns of those names are replaced.
 
     Documents are in order of doc_id, then text_key. A line goes if an equal
     one stands earlier, or a near one; both are judged on the input. Lines
     without a word are never removed. Rows equal in doc_id and text are one
-    document and come out once. A null text counts as empty: one line without a word. Rows
-    with a null doc_id have no place in the order and come out whole. An empty
-    table gives an empty result.
+    document: each comes out, with the same lines left. A null text counts as empty: one
+    line without a word. Rows with a null doc_id have no place in the order
+    and come out whole. An empty table gives an empty result.
     """
-    rows = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text"))
-    outside = rows.where("doc_id IS NULL").distinct()
-    rows = rows.where("doc_id IS NOT NULL")
+    others = [c for c in docs.columns if c not in ("doc_id", "text", *_ADDED)]
+    full = docs.select("doc_id", text_or_empty().alias("text"), F.struct(*others, F.lit(0).alias("_")).alias("rest")).withColumn("text_key", F.xxhash64("text"))
+    rows = full.where("doc_id IS NOT NULL").select("doc_id", "text", "text_key")
     seen = stored(_occurrences(rows, min_words), "lines")
     unique = seen.groupBy("h1", "h2").agg(F.min(F.struct(*_LINE)).alias("first"), F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("halves").alias("halves"))
     unique = stored(unique, "unique-lines")
@@ -135,9 +139,10 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     marked = unique.join(near, ["h1", "h2"], "left").where("c > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     gone = seen.select(*_LINE, "h1", "h2").join(marked, ["h1", "h2"]).where(F.col("near") | (F.struct(*_LINE) != F.col("first")))
     lists = gone.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))
-    joined = rows.join(lists, ["doc_id", "text_key"], "left").dropDuplicates(["doc_id", "text_key"])
-    out = joined.unionByName(outside, allowMissingColumns=True).select("doc_id", "text_key", *_rest())
-    return out.withColumn("n_left", F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(_SOLID))))
+    cut = full.join(lists, ["doc_id", "text_key"], "left").select("doc_id", "text_key", "rest", *_rest())
+    counted = cut.withColumn("n_left", F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(_SOLID))))
+    kept = [F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`") for c in docs.columns if c not in _ADDED]
+    return counted.select(*kept, *_ADDED)
 
 
 def _rest() -> list[Column]:

@@ -38,11 +38,12 @@ def plain(spark, rows, min_words):
 
 
 def run(spark, rows, min_words):
-    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS words", "1 AS h1", "2 AS at")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS words", "1 AS h1", "2 AS gone", "3 AS rest", "4 AS n_left")
     got = lines.dedupe_lines(docs, min_words).collect()
     for r in got:
         assert r.n_left == sum(bool(WORD.search(x)) for x in r.text.split("\n"))
-    return sorted(((r.doc_id, r.text_key, r.text, r.n_lines, r.n_removed) for r in got), key=str)
+    assert len(got) == len(rows) and all((r.words, r.h1, r.gone, r.rest) == ("x", 1, 2, 3) for r in got)
+    return sorted({(r.doc_id, r.text_key, r.text, r.n_lines, r.n_removed) for r in got}, key=str)
 
 
 def test_against_brute_force(spark):
