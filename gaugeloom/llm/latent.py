@@ -37,7 +37,9 @@ ITEMS = 2000
 #: Words of half a window; windows overlap by half.
 HALF = 16
 RANK, EXTRA, ROUNDS = 192, 8, 2
-COSINE = 0.3
+COSINE = 0.4
+#: No count t makes (1 + ln t)**2 exceed this many times t.
+REPEATS = 1.5
 #: Share of an item that must be found in order, alone and together with its answer; share of the answer.
 ALONE, WITH_ANSWER, ANSWER = 0.8, 0.6, 0.8
 #: An item without an answer of its own has its last words as one.
@@ -141,7 +143,7 @@ def _times(passages: DataFrame, vocabulary: np.ndarray, weight: np.ndarray, righ
             term = _terms(h, vocabulary, sieve)
             for _, a, b in _passages(h, first):
                 own, times = np.unique(term[a:b][term[a:b] >= 0], return_counts=True)
-                row = times * weight[own]
+                row = (1 + np.log(times)) * weight[own]
                 length = math.sqrt(row @ row)
                 if length:
                     row = row / length
@@ -208,9 +210,12 @@ def fit(block: DataFrame, docs: DataFrame, rank: int = RANK) -> Space | None:
     weight = np.log((n + 1) / (counts + 0.5))
     axes = directions(block, vocabulary, weight, rank)
     at = np.searchsorted(vocabulary, h)
-    rows = np.add.reduceat(weight[at, None] * axes[at], first[:-1], axis=0)
-    length = [math.sqrt(sum((c * weight[t]) ** 2 for t, c in zip(*np.unique(at[a:b], return_counts=True), strict=True))) for a, b in zip(first[:-1], first[1:], strict=True)]
-    return Space(vocabulary, weight, float(weight.mean()), axes, (rows / np.array(length)[:, None]).astype(np.float32), items)
+    rows = []
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        own, times = np.unique(at[a:b], return_counts=True)
+        entry = (1 + np.log(times)) * weight[own]
+        rows.append((entry @ axes[own]) / np.sqrt(entry @ entry))
+    return Space(vocabulary, weight, float(weight.mean()), axes, np.array(rows, dtype=np.float32), items)
 
 
 def _search(space: Space, cosine: float):
@@ -223,15 +228,14 @@ def _search(space: Space, cosine: float):
         text = np.repeat(np.arange(len(count)), count)
         half = (np.cumsum(halves) - halves)[text] + (np.arange(len(h)) - first[text]) // HALF
         inside = np.where(term >= 0, space.weight[term], 0.0)
-        total, own = np.zeros(int(halves.sum()) + 1), np.zeros(int(halves.sum()) + 1)
+        own, other = np.zeros(int(halves.sum()) + 1), np.zeros(int(halves.sum()) + 1)
         own[:-1] = np.bincount(half, inside**2, minlength=len(own) - 1)
-        total[:-1] = own[:-1] + np.bincount(half, np.where(term >= 0, 0.0, space.outside**2), minlength=len(own) - 1)
+        other[:-1] = np.bincount(half, term < 0, minlength=len(own) - 1) * space.outside**2
         last = np.zeros(len(own), dtype=bool)
         last[np.cumsum(halves) - 1] = True
         joined = np.where(last[:-1], 0, 1)
-        inner, outer = own[:-1] + joined * own[1:], total[:-1] + joined * total[1:]
-        # A word that comes back counts more than once in its square, at most as often as it stands there.
-        chosen = np.flatnonzero((inner * 2 * HALF >= limit**2 * outer) & (inner > 0))
+        inner, outer = own[:-1] + joined * own[1:], other[:-1] + joined * other[1:]
+        chosen = np.flatnonzero((REPEATS * inner * (1 - limit**2) >= limit**2 * outer) & (inner > 0))
         if not len(chosen):
             return []
         of = np.repeat(np.arange(len(halves)), halves)
@@ -246,7 +250,7 @@ def _search(space: Space, cosine: float):
             ids = term[place]
             pair, times = np.unique(row[ids >= 0] * len(space.vocabulary) + ids[ids >= 0], return_counts=True)
             at, word = pair // len(space.vocabulary), pair % len(space.vocabulary)
-            entry = times * space.weight[word]
+            entry = (1 + np.log(times)) * space.weight[word]
             square = np.bincount(at, entry**2, minlength=len(size)) + space.outside**2 * np.bincount(row[ids < 0], minlength=len(size))
             own_square = np.bincount(at, entry**2, minlength=len(size))
             strong = np.flatnonzero(own_square >= limit**2 * square)

@@ -33,7 +33,8 @@ def test_directions_match_an_exact_svd(spark):
     weight = np.linspace(0.5, 2, len(vocabulary))
     rows = []
     for _, a, b in latent._passages(h, first):
-        row = np.bincount(np.searchsorted(vocabulary, h[a:b]), minlength=len(vocabulary)) * weight
+        times = np.bincount(np.searchsorted(vocabulary, h[a:b]), minlength=len(vocabulary))
+        row = np.where(times > 0, 1 + np.log(np.maximum(times, 1)), 0) * weight
         rows.append(row / np.linalg.norm(row))
     _, value, exact = np.linalg.svd(np.array(rows))
     got = latent.directions(table, vocabulary, weight, rank=len(vocabulary))
