@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 from gaugeloom.llm import words as wd
 from gaugeloom.llm.common import stored, text_or_empty
 
-ITEMS = 2000
+ITEMS = 1000
 #: Words of half a window; windows overlap by half.
 HALF = 16
-RANK, EXTRA, ROUNDS = 192, 8, 2
-COSINE = 0.4
+RANK, EXTRA, ROUNDS = 384, 8, 2
+COSINE = 0.3
 #: No count t makes (1 + ln t)**2 exceed this many times t.
 REPEATS = 1.5
 #: Share of an item that must be found in order, alone and together with its answer; share of the answer.
