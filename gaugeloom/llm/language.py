@@ -37,6 +37,8 @@ TABLE = 1 << 15
 LEXICON = 20_000
 EPOCHS, BATCH, RATE, PENALTY = 6, 64, 0.3, 1e-6
 BLOCK = 64
+#: Bytes of text whose features lie in memory at once; a longer text is taken whole.
+PIECE_BYTES = 1 << 18
 UNKNOWN = "und"
 _LETTER = re.compile(rb"[A-Za-z]")
 
@@ -267,7 +269,7 @@ def label(texts: list[bytes], model: Model | None) -> list[tuple[str, float, lis
     out: list[tuple[str, float, list[dict]]] = []
     if model is None:
         return [(UNKNOWN, 0.0, []) for _ in texts]
-    for a, b in wd.pieces(texts):
+    for a, b in wd.pieces(texts, PIECE_BYTES):
         found = wd.find_words(texts[a:b])
         f = features(found, model.lexicon)
         shares = posteriors(emissions(f, model), found.first, model.change)
@@ -297,17 +299,17 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """
     kind = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
 
+    docs = docs.drop("lang_pred", "score", "runs")
+    place = [name.lower() for name in docs.columns].index("text")
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                texts = [t or b"" for t in part.column(part.num_columns - 1).cast(pa.binary()).to_pylist()]
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                texts = [t or b"" for t in part.column(place).cast(pa.binary()).to_pylist()]
                 lang, score, runs = zip(*label(texts, model), strict=True)
-                columns = [*part.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(runs, kind)]
-                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[:-1], "lang_pred", "score", "runs"])
+                columns = [*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(runs, kind)]
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "lang_pred", "score", "runs"])
 
-    docs = docs.drop("lang_pred", "score", "runs")
-    held = docs.withColumn("input_text", F.col("text").cast("string"))
     more = T.StructType.fromDDL("lang_pred string, score double, runs array<struct<lang:string,words:bigint>>")
-    schema = T.StructType(docs.schema.fields + more.fields)
-    return held.mapInArrow(each, schema)
+    return docs.mapInArrow(each, T.StructType(docs.schema.fields + more.fields))
