@@ -211,9 +211,16 @@ def interpolate(obs: DataFrame, max_gap: int = MAX_GAP, **options) -> DataFrame:
 
 
 def fill_stats(
-    filled: DataFrame, value_cols: Sequence[str] = ("value",), axis_keys: Sequence[str] = ("year",)
+    filled: DataFrame,
+    value_cols: Sequence[str] = ("value",),
+    axis_keys: Sequence[str] = ("year",),
+    existing: DataFrame | None = None,
 ) -> DataFrame:
-    """Fill counts per axis group and variable: each cell is counted once, by its method."""
+    """Fill counts per axis group and variable: each cell is counted once, by its method.
+
+    ``existing`` limits the counts to the axis groups and variables it lists,
+    because a column of a wide table is there in all years.
+    """
     by_method = [
         F.count_if(F.col(f"{c}_method") == m).alias(f"{c}|{m}")
         for c in value_cols
@@ -229,9 +236,11 @@ def fill_stats(
             for c in value_cols
         ]
     )
+    counts = wide.select(*axis_keys, F.inline(per_variable))
+    if existing is not None:
+        counts = counts.join(existing, [*axis_keys, "variable"], "left_semi")
     return (
-        wide.select(*axis_keys, F.inline(per_variable))
-        .withColumn("missing_before", F.col(INTERPOLATED) + F.col(FORWARD) + F.col(BACKWARD) + F.col(MISSING))
+        counts.withColumn("missing_before", F.col(INTERPOLATED) + F.col(FORWARD) + F.col(BACKWARD) + F.col(MISSING))
         .select(
             *axis_keys,
             "variable",

@@ -61,8 +61,13 @@ def storage_inventory(files: DataFrame, group: str = "fold", length: str = "leng
 
 
 def extract_links(pages: DataFrame, suffix: str = ".zip", html: str = "html") -> DataFrame:
-    """Targets of the anchors of a page that end in ``suffix``, in page order."""
-    targets = F.regexp_extract_all(F.col(html), F.lit(r"(?i)<a\s[^>]*?href=\"([^\"]+)\""), F.lit(1))
+    """Targets of the anchors of a page that end in ``suffix``, in page order.
+
+    A target may stand in double, single or no quotes; comments hold no anchors.
+    """
+    shown = F.regexp_replace(html, r"(?s)<!--.*?(-->|$)", " ")
+    anchor = r"""(?i)<a(?=\s)(?:[^>"']|"[^"]*"|'[^']*')*?\shref\s*=\s*("[^"]+"|'[^']+'|[^\s"'>]+)"""
+    targets = F.transform(F.regexp_extract_all(shown, F.lit(anchor), F.lit(1)), lambda t: F.regexp_replace(t, r"""^["']|["']$""", ""))
     return (
         pages.select(*[c for c in pages.columns if c != html], F.posexplode(targets).alias("position", "link"))
         .filter(F.col("link").endswith(suffix))

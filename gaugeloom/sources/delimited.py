@@ -44,11 +44,15 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], line: str = "line", se
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines of text files with the name of their file; files are split for reading."""
+    """Lines of text files with the path and name of their file; files are split for reading."""
     return (
         spark.read.option("recursiveFileLookup", "true")
         .text(path)
-        .select(F.col("_metadata.file_name").alias("file_name"), latin1_text(F.col("value")).alias("line"))
+        .select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_name").alias("file_name"),
+            latin1_text(F.col("value")).alias("line"),
+        )
     )
 
 
@@ -63,7 +67,29 @@ def header_columns(lines: DataFrame, first: str = KEY_COLUMNS[0]) -> list[str]:
 def scan_delimited(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Text columns of observation files; column names come from the files unless given."""
     lines = read_lines(spark, path)
-    return parse_lines(lines, columns or header_columns(lines))
+    return parse_lines(lines.drop("file_path"), columns or header_columns(lines))
+
+
+def parse_by_header(lines: DataFrame, columns: Sequence[str], line: str = "line", sep: str = ";") -> DataFrame:
+    """``columns`` as trimmed text, each found by its name in the header of its own file.
+
+    ``lines`` has a column ``file_path``, which is dropped. A column that a file lacks is NULL
+    in its rows; a file without a header is taken to hold ``columns`` in order. Lines with more
+    fields than the header of their file, header lines and blank lines are dropped.
+    """
+    others = [c for c in lines.columns if c not in (line, "file_path")]
+    is_header = F.trim(F.get(F.split(F.col(line), sep, -1), F.lit(0))) == columns[0]
+    names = F.transform(F.split(F.min(line), sep, -1), lambda x: F.trim(x))
+    headers = lines.filter(is_header).groupBy("file_path").agg(names.alias("_header"))
+    own = F.coalesce("_header", F.array(*[F.lit(c) for c in columns]))
+    fields = {c: F.get("_parts", F.array_position("_header", c).cast("int") - 1) for c in columns}
+    return (
+        lines.filter(~is_header & (F.trim(F.col(line)) != ""))
+        .join(headers, "file_path", "left")
+        .withColumns({"_header": own, "_parts": F.split(F.col(line), sep, -1)})
+        .filter(F.size("_parts") <= F.size("_header"))
+        .select(*others, *[F.nullif(F.trim(e), F.lit("")).alias(c) for c, e in fields.items()])
+    )
 
 
 def typed_observations(text: DataFrame, value_cols: Sequence[str], sentinel: float = SENTINEL) -> DataFrame:
@@ -89,10 +115,13 @@ def reading_order(fold: str, file_name: Column, row: Column) -> Column:
 
 
 def read_fold(spark: SparkSession, path: str | list[str], fold: str) -> DataFrame:
-    """Typed observations of one measurement category, ready to be merged with others."""
+    """Typed observations of one measurement category, ready to be merged with others.
+
+    Files may order their columns differently, lack some or hold others.
+    """
     measured = FOLD_COLUMNS[fold]
     lines = read_lines(spark, path).withColumn("order_key", reading_order(fold, F.col("file_name"), F.col("line")))
-    return typed_observations(parse_lines(lines, [*KEY_COLUMNS, *measured]), measured).withColumn("fold", F.lit(fold))
+    return typed_observations(parse_by_header(lines, [*KEY_COLUMNS, *measured]), measured).withColumn("fold", F.lit(fold))
 
 
 def station_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -101,8 +130,8 @@ def station_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     rows = F.filter(F.split(latin1_text(F.col("value")), "\r?\n"), lambda r: F.trim(r) != "")
     parsed = raw.select(F.col("_metadata.file_name").alias("file_name"), rows.alias("rows")).select(
         "file_name",
-        F.transform(F.split(F.get("rows", F.lit(0)), ";", -1), F.trim).alias("header"),
-        F.transform(F.split(F.element_at("rows", -1), ";", -1), F.trim).alias("last"),
+        F.transform(F.split(F.get("rows", F.lit(0)), ";", -1), lambda x: F.trim(x)).alias("header"),
+        F.transform(F.split(F.element_at("rows", -1), ";", -1), lambda x: F.trim(x)).alias("last"),
     )
 
     def field(name: str) -> Column:

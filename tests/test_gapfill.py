@@ -128,6 +128,15 @@ def test_wide_table_fills_each_variable_on_its_own(spark):
     assert (rows[2].other, rows[2].other_method) == (7.0, "interpolated")
 
 
+def test_fill_counts_leave_out_years_without_the_variable(spark):
+    rows = [(2000, 1.0, "observed", None, "missing"), (2001, None, "missing", 2.0, "interpolated")]
+    filled = spark.createDataFrame(rows, "year int, a double, a_method string, b double, b_method string")
+    existing = spark.createDataFrame([(2000, "a"), (2001, "a"), (2001, "b")], "year int, variable string")
+    got = fill_stats(filled, ["a", "b"], existing=existing).orderBy("year", "variable").collect()
+    assert [(r.year, r.variable, r.missing_before) for r in got] == [(2000, "a", 0), (2001, "a", 1), (2001, "b", 1)]
+    assert fill_stats(filled, ["a", "b"]).count() == 4
+
+
 def test_interpolate_leaves_edges(spark):
     rows = interpolate(frame(spark, {1: [N, 1.0, N, 3.0, N]})).orderBy("pos").collect()
     assert [r.value for r in rows] == [N, 1.0, 2.0, 3.0, N]

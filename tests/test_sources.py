@@ -76,6 +76,24 @@ def test_typed_fold(spark, raw):
     assert row.FF_10 is None and row.eor is None and row.QN == 3.0 and row.year == 2000
 
 
+def test_fold_reads_every_file_by_its_own_header(spark, tmp_path):
+    at = "200001010000"
+    files = {
+        "plain": ["STATIONS_ID;MESS_DATUM;QN;DS_10;GS_10;SD_10;LS_10", f"1;{at};3;1;2;3;4"],
+        "padded": ["STATIONS_ID;MESS_DATUM;   QN;DS_10; GS_10;SD_10;LS_10;eor", f"  2;{at}; 3;1;2;3;4;eor"],
+        "swapped": ["STATIONS_ID;MESS_DATUM;LS_10;SD_10;GS_10;DS_10;QN", f"3;{at};4;3;2;1;3"],
+        "lacking": ["STATIONS_ID;MESS_DATUM;GS_10", f"4;{at};2", f"4;{at};2;7;7;7;7"],
+    }
+    for name, rows in files.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "same.txt").write_text("\n".join(rows), "latin-1")
+    got = {r.station_id: r for r in delimited.read_fold(spark, str(tmp_path), "solar").collect()}
+    assert sorted(got) == [1, 2, 3, 4]
+    for station in (1, 2, 3):
+        assert [got[station][c] for c in ("QN", "DS_10", "GS_10", "SD_10", "LS_10")] == [3, 1, 2, 3, 4]
+    assert [got[4][c] for c in ("DS_10", "GS_10", "SD_10", "LS_10")] == [None, 2, None, None]
+
+
 def test_catalog_and_inventory(spark, raw):
     files = catalog.list_files(spark, [f"{raw}/wind", f"{raw}/solar"])
     assert "content" not in files._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
@@ -100,6 +118,13 @@ def zipped(members):
     return out.getvalue()
 
 
+def test_station_fields_keep_digits_that_equal_their_place(spark, tmp_path):
+    header, row = "Stations_id;Stationshoehe;Geogr.Breite;Geogr.Laenge", " 100;  11.01; 52.2; 13.3"
+    (tmp_path / "m.txt").write_text(f"{header}\n{row}\n", "latin-1")
+    got = delimited.station_files(spark, str(tmp_path)).first()
+    assert (got.station_id, got.height, got.latitude, got.longitude) == (100, 11.01, 52.2, 13.3)
+
+
 def test_archives(spark):
     data = [("a.zip", zipped([("m1", "x" * 10), ("m2", "yy")])), ("b.zip", zipped([("m1", "zzz")]))]
     archives = spark.createDataFrame(data, "archive string, content binary")
@@ -115,6 +140,14 @@ def test_links(spark):
     assert [(r.position, r.link) for r in catalog.extract_links(pages).collect()] == [(0, "x.zip"), (2, "w.zip")]
 
 
+def test_links_in_other_quotes_and_comments(spark):
+    html = """<a class='x>y' href='a.zip'>a</a><a href=b.zip>b</a><!-- <a href="c.zip">c</a> -->
+<a data-href="d.zip">d</a><a
+ href = "e'e.zip">e</a><!-- open <a href=f.zip>"""
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    assert [r.link for r in catalog.extract_links(pages).collect()] == ["a.zip", "b.zip", "e'e.zip"]
+
+
 def test_years_are_replaced_one_by_one(spark, tmp_path):
     path = str(tmp_path / "data")
     table = spark.createDataFrame([(2000, 1), (2001, 2), (2001, 3)], "year int, v int")
