@@ -6,15 +6,17 @@ distributed randomised SVD gives their latent space: blocks of passages are
 multiplied where they lie, and only the sums, with a row per word of the
 vocabulary, come together. Every window of every document is folded into that
 space; its length also counts the words outside the vocabulary, each with the mean weight.
-Windows close to an item are candidates. A candidate holds if the longest common
-subsequence of the item and the words around the window covers most of the item, or
+Windows close to a passage are candidates. A candidate holds if the longest common
+subsequence of the whole item and the words around the window covers most of the item, or
 less of it but with the item's answer.
 
 A window can only be close if enough of its weight lies within the vocabulary,
 which is tested before anything is folded in and loses no candidate.
 
-A benchmark of any size is worked off in blocks of ``ITEMS`` items, so what a task
-holds has a fixed bound.
+A space holds at most ``RANK`` passages, so it has a direction for each and
+cuts none off; an item with more passages spreads over several spaces. The documents are
+scanned once for about ``ITEMS`` items or ``PASSAGES`` passages, against all their spaces, so
+what a task holds has a bound for a benchmark of any size (a longer item has a scan with others of its hash).
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from gaugeloom.llm import words as wd
 from gaugeloom.llm.common import stored, text_or_empty
 
-ITEMS = 1000
+ITEMS, PASSAGES = 1000, 2000
 #: Words of half a window; windows overlap by half.
 HALF = 16
 RANK, EXTRA, ROUNDS = 384, 8, 2
@@ -58,14 +60,26 @@ class Item(NamedTuple):
 
 
 class Space(NamedTuple):
-    """Sorted hashes of the vocabulary, their weights, word directions (words, rank) and items (items, rank)."""
+    """Weights of the space's words, word directions (words, rank), passages (passages, rank), the item of each and where it begins there.
 
-    vocabulary: np.ndarray
+    ``place`` has the word of the space for each word of the scan, and one more: -1 for those the space has not.
+    """
+
+    place: np.ndarray
     weight: np.ndarray
     outside: float
     axes: np.ndarray
-    items: np.ndarray
-    item: list[Item]
+    passages: np.ndarray
+    item: np.ndarray
+    offset: np.ndarray
+
+
+class Scan(NamedTuple):
+    """What one scan of the documents looks for; ``vocabulary`` are the sorted hashes of all words."""
+
+    vocabulary: np.ndarray
+    items: list[Item]
+    spaces: list[Space]
 
 
 def _hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -84,6 +98,18 @@ def _lower(column: pa.Array) -> list[bytes]:
     return pc.utf8_lower(column).cast(pa.binary()).to_pylist()
 
 
+def _spelled(h: np.ndarray) -> bytes:
+    return h.astype("<u8").tobytes()
+
+
+def _read(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and where each text begins, of texts or of hashes that ``_spelled`` made."""
+    if not pa.types.is_binary(column.type):
+        return _hashes(_lower(column))
+    parts = [np.frombuffer(b, dtype="<u8") for b in column.to_pylist()]
+    return np.concatenate([np.zeros(0, dtype=np.uint64), *parts]), np.r_[0, np.cumsum([len(x) for x in parts])].astype(np.int64)
+
+
 def _terms(h: np.ndarray, vocabulary: np.ndarray, sieve: np.ndarray) -> np.ndarray:
     """Place of each word in the vocabulary, -1 if it is not there."""
     out = np.full(len(h), -1, dtype=np.int64)
@@ -139,7 +165,7 @@ def _times(passages: DataFrame, vocabulary: np.ndarray, weight: np.ndarray, righ
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve, total = _sieve(vocabulary), np.zeros((len(vocabulary), columns))
         for batch in batches:
-            h, first = _hashes(_lower(batch.column(0)))
+            h, first = _read(batch.column(0))
             term = _terms(h, vocabulary, sieve)
             for _, a, b in _passages(h, first):
                 own, times = np.unique(term[a:b][term[a:b] >= 0], return_counts=True)
@@ -152,7 +178,7 @@ def _times(passages: DataFrame, vocabulary: np.ndarray, weight: np.ndarray, righ
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used].tolist(), pa.list_(pa.float64()))], ["term", "row"])
 
     zip_add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    parts = passages.select("text").mapInArrow(each, "term long, row array<double>").groupBy("term").agg(F.collect_list("row").alias("rows"))
+    parts = passages.select("hashes" if "hashes" in passages.columns else "text").mapInArrow(each, "term long, row array<double>").groupBy("term").agg(F.collect_list("row").alias("rows"))
     out = np.zeros_like(right)
     for r in parts.select("term", F.reduce(F.slice("rows", 2, F.size("rows")), F.element_at("rows", 1), zip_add).alias("row")).collect():
         out[r.term] = r.row
@@ -200,33 +226,63 @@ def _items(block: DataFrame) -> tuple[list[Item], np.ndarray, np.ndarray]:
     return items, np.array(kept_h, dtype=np.uint64), np.r_[0, np.cumsum(counts)].astype(np.int64)
 
 
-def fit(block: DataFrame, docs: DataFrame, rank: int = RANK) -> Space | None:
-    """The latent space of one block of benchmark items; null if no item has a word."""
+def blocks_of(first: np.ndarray, rank: int = RANK) -> list[list[tuple[int, int, int]]]:
+    """Blocks of at most ``rank`` passages, each a list of (item, begin, end) of stretches of words of one item."""
+    out: list[list[tuple[int, int, int]]] = [[]]
+    held = 0
+    for k, n in enumerate(np.diff(first).tolist()):
+        of = len(range(0, max(1, n - HALF), HALF))
+        for at in range(0, of, rank):
+            size = min(rank, of - at)
+            if held + size > rank:
+                out.append([])
+                held = 0
+            # The last passage reaches a half beyond where it begins, into what the next stretch begins with.
+            out[-1].append((k, at * HALF, n if at + size == of else (at + size + 1) * HALF))
+            held += size
+    return out
+
+
+def fit(block: DataFrame, docs: DataFrame, rank: int = RANK) -> Scan | None:
+    """The latent spaces of some benchmark items; null if no item has a word."""
     items, h, first = _items(block)
     if not items:
         return None
     vocabulary = np.unique(h)
     counts, n = document_counts(docs, vocabulary)
-    weight = np.log((n + 1) / (counts + 0.5))
-    axes = directions(block, vocabulary, weight, rank)
-    at = np.searchsorted(vocabulary, h)
-    rows = []
-    for a, b in zip(first[:-1], first[1:], strict=True):
-        own, times = np.unique(at[a:b], return_counts=True)
-        entry = (1 + np.log(times)) * weight[own]
-        rows.append((entry @ axes[own]) / np.sqrt(entry @ entry))
-    return Space(vocabulary, weight, float(weight.mean()), axes, np.array(rows, dtype=np.float32), items)
-
-
-def _search(space: Space, cosine: float):
+    idf = np.log((n + 1) / (counts + 0.5))
+    spaces = []
+    for stretches in blocks_of(first, rank):
+        parts = [h[first[k] + a : first[k] + b] for k, a, b in stretches]
+        begins = np.r_[0, np.cumsum([len(x) for x in parts])]
+        joined = np.concatenate(parts)
+        own = np.unique(joined)
+        of_scan = np.searchsorted(vocabulary, own)
+        weight = idf[of_scan]
+        axes = directions(block.sparkSession.createDataFrame([(_spelled(x),) for x in parts], "hashes binary"), own, weight, rank)
+        at = np.searchsorted(own, joined)
+        rows, item, offset = [], [], []
+        for part, a, b in _passages(joined, begins):
+            word, times = np.unique(at[a:b], return_counts=True)
+            entry = (1 + np.log(times)) * weight[word]
+            rows.append((entry @ axes[word]) / np.sqrt(entry @ entry))
+            item.append(stretches[part][0])
+            offset.append(stretches[part][1] + a - int(begins[part]))
+        place = np.full(len(vocabulary) + 1, -1, dtype=np.int64)
+        place[of_scan] = np.arange(len(own))
+        spaces.append(Space(place, weight, float(weight.mean()), axes, np.array(rows, dtype=np.float32), np.array(item), np.array(offset)))
+    return Scan(vocabulary, items, spaces)
+
+
+def _search(scan: Scan, cosine: float):
     limit = np.float32(cosine)
 
-    def hits(h: np.ndarray, first: np.ndarray, term: np.ndarray) -> list[tuple[int, int, float, float, bool, int]]:
-        """Best (text, item, cosine, share, answer, word) per text and item."""
+    def near_passages(space: Space, first: np.ndarray, term: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        """(text, begin, end, passage, cosine) of every window close to a passage; ``term`` are words of the space."""
         count = np.diff(first)
         halves = np.maximum(-(-count // HALF), 1)
         text = np.repeat(np.arange(len(count)), count)
-        half = (np.cumsum(halves) - halves)[text] + (np.arange(len(h)) - first[text]) // HALF
+        half = (np.cumsum(halves) - halves)[text] + (np.arange(len(term)) - first[text]) // HALF
         inside = np.where(term >= 0, space.weight[term], 0.0)
         own, other = np.zeros(int(halves.sum()) + 1), np.zeros(int(halves.sum()) + 1)
         own[:-1] = np.bincount(half, inside**2, minlength=len(own) - 1)
@@ -236,55 +292,66 @@ def _search(space: Space, cosine: float):
         joined = np.where(last[:-1], 0, 1)
         inner, outer = own[:-1] + joined * own[1:], other[:-1] + joined * other[1:]
         chosen = np.flatnonzero((REPEATS * inner * (1 - limit**2) >= limit**2 * outer) & (inner > 0))
-        if not len(chosen):
-            return []
         of = np.repeat(np.arange(len(halves)), halves)
         begin = first[of[chosen]] + (chosen - (np.cumsum(halves) - halves)[of[chosen]]) * HALF
         end = np.minimum(begin + 2 * HALF, first[of[chosen] + 1])
-        found: dict[tuple[int, int], tuple] = {}
         for a in range(0, len(chosen), 4096):
             part = slice(a, a + 4096)
             size = end[part] - begin[part]
             place = np.arange(int(size.sum())) + np.repeat(begin[part] - (np.cumsum(size) - size), size)
             row = np.repeat(np.arange(len(size)), size)
             ids = term[place]
-            pair, times = np.unique(row[ids >= 0] * len(space.vocabulary) + ids[ids >= 0], return_counts=True)
-            at, word = pair // len(space.vocabulary), pair % len(space.vocabulary)
+            pair, times = np.unique(row[ids >= 0] * len(space.weight) + ids[ids >= 0], return_counts=True)
+            at, word = pair // len(space.weight), pair % len(space.weight)
             entry = (1 + np.log(times)) * space.weight[word]
-            square = np.bincount(at, entry**2, minlength=len(size)) + space.outside**2 * np.bincount(row[ids < 0], minlength=len(size))
             own_square = np.bincount(at, entry**2, minlength=len(size))
-            strong = np.flatnonzero(own_square >= limit**2 * square)
+            square = own_square + space.outside**2 * np.bincount(row[ids < 0], minlength=len(size))
+            strong = np.flatnonzero((own_square >= limit**2 * square) & (own_square > 0))
             if not len(strong):
                 continue
             number = np.full(len(size), -1)
             number[strong] = np.arange(len(strong))
             use = number[at] >= 0
-            folded = np.zeros((len(strong), space.axes.shape[1]), dtype=np.float32)
-            np.add.at(folded, number[at[use]], entry[use, None].astype(np.float32) * space.axes[word[use]])
-            near = (folded @ space.items.T) / np.sqrt(square[strong])[:, None].astype(np.float32)
-            for x, k in zip(*np.nonzero(near >= limit), strict=True):
-                w = int(chosen[a + strong[x]])
-                t, item = int(of[w]), space.item[k]
+            at, word, entry = number[at[use]], word[use], entry[use]
+            near = np.empty((len(strong), len(space.passages)), dtype=np.float32)
+            for b in range(0, len(strong), 512):  # the words of the windows are in the windows' order
+                lo, hi = np.searchsorted(at, [b, b + 512])
+                scaled = entry[lo:hi, None].astype(np.float32) * space.axes[word[lo:hi]]
+                folded = np.add.reduceat(scaled, np.flatnonzero(np.diff(at[lo:hi], prepend=-1)))
+                near[b : b + 512] = folded @ space.passages.T
+            near /= np.sqrt(square[strong])[:, None].astype(np.float32)
+            for x, p in zip(*np.nonzero(near >= limit), strict=True):
+                w = a + int(strong[x])
+                yield int(of[chosen[w]]), int(begin[w]), int(end[w]), int(p), float(near[x, p])
+
+    def hits(h: np.ndarray, first: np.ndarray, term: np.ndarray) -> list[tuple[int, int, float, float, bool, int]]:
+        """Best (text, item, cosine, share, answer, word) per text and item."""
+        found: dict[tuple[int, int], tuple] = {}
+        shared: dict[tuple[int, int, int], tuple[float, bool]] = {}
+        for space in scan.spaces:
+            for t, begin, end, p, near in near_passages(space, first, space.place[term]):
+                k = int(space.item[p])
+                item = scan.items[k]
                 reach = len(item.words) // 2 + HALF
-                lo, hi = max(int(first[t]), int(begin[a + strong[x]]) - reach), min(int(first[t + 1]), int(end[a + strong[x]]) + reach)
-                around = h[lo:hi].tolist()
-                share = common_length(item.words, around) / len(item.words)
-                answered = common_length(item.answer, around) >= ANSWER * len(item.answer)
+                lo, hi = max(int(first[t]), begin - reach), min(int(first[t + 1]), end + reach)
+                if (k, lo, hi) not in shared:
+                    around = h[lo:hi].tolist()
+                    shared[k, lo, hi] = common_length(item.words, around) / len(item.words), common_length(item.answer, around) >= ANSWER * len(item.answer)
+                share, answered = shared[k, lo, hi]
                 if share >= ALONE or share >= WITH_ANSWER and answered:
-                    now = (t, item.item_id, float(near[x, k]), share, answered, lo - int(first[t]))
-                    if (t, k) not in found or found[t, k][3] < share:
-                        found[t, k] = now
+                    if (t, k) not in found or found[t, k][3:1:-1] < (share, near):
+                        found[t, k] = (t, item.item_id, near, share, answered, lo - int(first[t]))
         return list(found.values())
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve = _sieve(space.vocabulary)
+        sieve = _sieve(scan.vocabulary)
         for batch in batches:
             rows = []
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 h, first = _hashes(_lower(part.column(2)))
                 if len(h):
-                    for t, *rest in hits(h, first, _terms(h, space.vocabulary, sieve)):
+                    for t, *rest in hits(h, first, _terms(h, scan.vocabulary, sieve)):
                         rows.append((part.column(0)[t].as_py(), part.column(1)[t].as_py(), *rest))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], _NAMES)
@@ -310,8 +377,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
     rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     known = stored(benchmark.select("item_id", text_or_empty().alias("text"), answer.alias("answer")).where("text != ''"), "items")
-    blocks = max(1, -(-known.count() // items))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    spaces = [fit(known.where(part == k), rows) for k in range(blocks)]
-    found = [rows.mapInArrow(_search(s, cosine), SCHEMA) for s in spaces if s]
+    words = F.size(F.split("text", "[^0-9A-Za-z\\x{80}-\\x{10ffff}]+"))
+    count, passages = known.agg(F.count(F.lit(1)), F.sum(F.ceil(words / HALF))).first()
+    scans = max(1, -(-count // items), -(-(passages or 0) // (PASSAGES * items // ITEMS)))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(scans))
+    fitted = [fit(known.where(part == k), rows) for k in range(scans)]
+    found = [rows.mapInArrow(_search(s, cosine), SCHEMA) for s in fitted if s]
     return reduce(DataFrame.union, found) if found else rows.limit(0).select("doc_id", "text_key", *(F.lit(None).cast(t).alias(n) for n, t in (("item_id", "long"), ("cosine", "double"), ("share", "double"), ("answered", "boolean"), ("near_word", "long"))))

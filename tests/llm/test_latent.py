@@ -73,3 +73,33 @@ def test_odd_rows_and_paraphrase(spark):
         assert got == [(0, 4), (900, 3), (901, 7), (905, 5), (906, 6), (906, 6)]
     assert latent.contaminated(docs.limit(0), bench).count() == 0
     assert latent.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def planted(spark, count, length, size):
+    """Pairs found and expected when every item stands verbatim in a document of its own."""
+    rnd = random.Random(count + length)
+    text = lambda n: " ".join(f"w{min(rnd.randrange(8000), rnd.randrange(8000))}" for _ in range(n))
+    items = [(i, text(rnd.randrange(length // 2, length)), None) for i in range(count)]
+    docs = [(i, f"{text(rnd.randrange(100))} {x} {text(rnd.randrange(100))}") for i, x, _ in items]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    found = latent.contaminated(docs, spark.createDataFrame(items, "item_id long, text string, answer string"), items=size).collect()
+    return sorted((r.doc_id, r.item_id) for r in found), [(i, i) for i in range(count)]
+
+
+def test_many_items_are_all_found(spark):
+    for count in (500, 1000):  # more passages than directions
+        got, want = planted(spark, count, 60, latent.ITEMS)
+        assert got == want
+
+
+def test_blocks_hold_every_passage_once():
+    counts = [1, 16, 17, 32, 33, 48, 49, 700, 5, 0 + 6000]
+    first = np.r_[0, np.cumsum(counts)]
+    for rank in (1, 3, 10, 384):
+        blocks = latent.blocks_of(first, rank)
+        got = []
+        for block in blocks:
+            own = [(k, a + lo, a + hi) for k, a, b in block for _, lo, hi in latent._passages(np.zeros(b - a), np.array([0, b - a]))]
+            assert 0 < len(own) <= rank
+            got += own
+        assert got == [(k, a - first[k], b - first[k]) for k, a, b in latent._passages(np.zeros(first[-1]), first)]
