@@ -332,8 +332,8 @@ def _search(scan: Scan, cosine: float):
             for t, begin, end, p, near in near_passages(space, first, space.place[term]):
                 k = int(space.item[p])
                 item = scan.items[k]
-                reach = len(item.words) // 2 + HALF
-                lo, hi = max(int(first[t]), begin - reach), min(int(first[t + 1]), end + reach)
+                reach, start = len(item.words) // 2 + HALF, begin - int(space.offset[p])
+                lo, hi = max(int(first[t]), start - reach), min(int(first[t + 1]), max(end, start + len(item.words)) + reach)
                 if (k, lo, hi) not in shared:
                     around = h[lo:hi].tolist()
                     shared[k, lo, hi] = common_length(item.words, around) / len(item.words), common_length(item.answer, around) >= ANSWER * len(item.answer)

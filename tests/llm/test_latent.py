@@ -92,6 +92,12 @@ def test_many_items_are_all_found(spark):
         assert got == want
 
 
+def test_long_items_are_all_found(spark):
+    for count, length, size in ((20, 800, latent.ITEMS), (2, 15000, latent.ITEMS), (6, 1200, 3)):
+        got, want = planted(spark, count, length, size)
+        assert got == want
+
+
 def test_blocks_hold_every_passage_once():
     counts = [1, 16, 17, 32, 33, 48, 49, 700, 5, 0 + 6000]
     first = np.r_[0, np.cumsum(counts)]
