@@ -31,6 +31,9 @@ Z = 1.645
 #: Limits of the correlation within a group, so that no prior is empty or absolute.
 CORRELATION = (0.001, 0.5)
 
+#: A group with more labels tells no more of the correlation than one with so many.
+LARGE = 100
+
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -68,10 +71,16 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def _strength(level: DataFrame) -> float:
-    """Pseudo-counts of the prior, from how far counts scatter beyond chance around their prior mean."""
+    """Pseudo-counts of the prior, from how far counts scatter beyond chance around their prior mean.
+
+    Groups weigh with their pairs of labels, those beyond ``LARGE`` labels with the pairs of so many: a few
+    groups that hold most of the rows do not decide for all others.
+    """
     p, n = F.col("prior"), F.col("n")
     chance = p * (1 - p)
-    row = level.where("n > 1").agg(F.sum((F.col("bad") - n * p) ** 2 - n * chance), F.sum(n * (n - 1) * chance)).first()
+    held = F.least(n, F.lit(LARGE))
+    pairs = held * (held - 1)
+    row = level.where("n > 1").agg(F.sum(pairs / (n * (n - 1)) * ((F.col("bad") - n * p) ** 2 - n * chance)), F.sum(pairs * chance)).first()
     low, high = CORRELATION
     share = row[0] / row[1] if row[1] else high
     return 1 / min(max(share, low), high) - 1

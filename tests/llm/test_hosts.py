@@ -97,3 +97,19 @@ def test_against_plain(spark):
 def test_empty_and_without_labels(spark):
     assert run(spark, [], []) == []
     assert run(spark, [(1, "a://b.c/")], []) == plain([(1, "a://b.c/")], [])
+
+
+def test_a_hot_host_does_not_decide_for_all(spark):
+    pages, outcomes = [], []
+
+    def host(name, n, bad):
+        for k in range(n):
+            outcomes.append((len(pages), k < bad))
+            pages.append((len(pages), f"x://{name}/p"))
+
+    host("hot.com", 1000, 250)
+    host("bad.com", 36, 36)
+    for i in range(120):
+        host(f"h{i}.com", 16, 4)
+    got = {r[1]: r[4] for r in run(spark, pages, outcomes)}
+    assert {name for name, verdict in got.items() if verdict == "block"} == {"bad.com"}
