@@ -10,8 +10,9 @@ Windows close to a passage are candidates. A candidate holds if the longest comm
 subsequence of the whole item and the words around the window covers most of the item, or
 less of it but with the item's answer.
 
-A window can only be close if enough of its weight lies within the vocabulary,
-which is tested before anything is folded in and loses no candidate.
+A window can only be close if enough of its weight lies within the vocabulary, and if
+its words, each as strong as in the passage that has most of it, reach the bound together.
+Both are tested before anything is folded in and lose no candidate.
 
 A space holds at most ``RANK`` passages, so it has a direction for each and
 cuts none off; an item with more passages spreads over several spaces. The documents are
@@ -42,6 +43,8 @@ RANK, EXTRA, ROUNDS = 384, 8, 2
 COSINE = 0.3
 #: No count t makes (1 + ln t)**2 exceed this many times t.
 REPEATS = 1.5
+#: No count t up to the words of a window makes it less than this many times t.
+FEWEST = 0.6
 #: Share of an item that must be found in order, alone and together with its answer; share of the answer.
 ALONE, WITH_ANSWER, ANSWER = 0.8, 0.6, 0.8
 #: An item without an answer of its own has its last words as one.
@@ -60,7 +63,7 @@ class Item(NamedTuple):
 
 
 class Space(NamedTuple):
-    """Weights of the space's words, word directions (words, rank), passages (passages, rank), the item of each and where it begins there.
+    """Weights of the space's words, word directions (words, rank), passages (passages, rank), the most any passage has of each word, the item of each passage and where it begins there.
 
     ``place`` has the word of the space for each word of the scan, and one more: -1 for those the space has not.
     """
@@ -70,6 +73,7 @@ class Space(NamedTuple):
     outside: float
     axes: np.ndarray
     passages: np.ndarray
+    most: np.ndarray
     item: np.ndarray
     offset: np.ndarray
 
@@ -270,28 +274,33 @@ def fit(block: DataFrame, docs: DataFrame, rank: int = RANK) -> Scan | None:
             offset.append(stretches[part][1] + a - int(begins[part]))
         place = np.full(len(vocabulary) + 1, -1, dtype=np.int64)
         place[of_scan] = np.arange(len(own))
-        spaces.append(Space(place, weight, float(weight.mean()), axes, np.array(rows, dtype=np.float32), np.array(item), np.array(offset)))
+        passages = np.array(rows, dtype=np.float32)
+        most = np.maximum((axes @ passages.T).max(axis=1), 0).astype(np.float64)
+        spaces.append(Space(place, weight, float(weight.mean()), axes, passages, most, np.array(item), np.array(offset)))
     return Scan(vocabulary, items, spaces)
 
 
 def _search(scan: Scan, cosine: float):
     limit = np.float32(cosine)
+    below = 0.999 * cosine  # leaves room for rounding
 
     def near_passages(space: Space, first: np.ndarray, term: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
         """(text, begin, end, passage, cosine) of every window close to a passage; ``term`` are words of the space."""
-        count = np.diff(first)
+        count, gain = np.diff(first), space.weight * space.most
         halves = np.maximum(-(-count // HALF), 1)
         text = np.repeat(np.arange(len(count)), count)
         half = (np.cumsum(halves) - halves)[text] + (np.arange(len(term)) - first[text]) // HALF
         inside = np.where(term >= 0, space.weight[term], 0.0)
-        own, other = np.zeros(int(halves.sum()) + 1), np.zeros(int(halves.sum()) + 1)
+        own, other, reached = (np.zeros(int(halves.sum()) + 1) for _ in range(3))
         own[:-1] = np.bincount(half, inside**2, minlength=len(own) - 1)
         other[:-1] = np.bincount(half, term < 0, minlength=len(own) - 1) * space.outside**2
+        reached[:-1] = np.bincount(half, np.where(term >= 0, gain[term], 0.0), minlength=len(own) - 1)
         last = np.zeros(len(own), dtype=bool)
         last[np.cumsum(halves) - 1] = True
         joined = np.where(last[:-1], 0, 1)
         inner, outer = own[:-1] + joined * own[1:], other[:-1] + joined * other[1:]
-        chosen = np.flatnonzero((REPEATS * inner * (1 - limit**2) >= limit**2 * outer) & (inner > 0))
+        top = reached[:-1] + joined * reached[1:]
+        chosen = np.flatnonzero((REPEATS * inner * (1 - limit**2) >= limit**2 * outer) & (top >= below * np.sqrt(FEWEST * inner + outer)) & (inner > 0))
         of = np.repeat(np.arange(len(halves)), halves)
         begin = first[of[chosen]] + (chosen - (np.cumsum(halves) - halves)[of[chosen]]) * HALF
         end = np.minimum(begin + 2 * HALF, first[of[chosen] + 1])
@@ -306,7 +315,8 @@ def _search(scan: Scan, cosine: float):
             entry = (1 + np.log(times)) * space.weight[word]
             own_square = np.bincount(at, entry**2, minlength=len(size))
             square = own_square + space.outside**2 * np.bincount(row[ids < 0], minlength=len(size))
-            strong = np.flatnonzero((own_square >= limit**2 * square) & (own_square > 0))
+            best = np.bincount(at, entry * space.most[word], minlength=len(size))
+            strong = np.flatnonzero((own_square >= limit**2 * square) & (best >= below * np.sqrt(square)) & (own_square > 0))
             if not len(strong):
                 continue
             number = np.full(len(size), -1)
