@@ -132,44 +132,44 @@ class Packer:
 
 def _pack(path: str, capacity: int, end_id: int, most_open: int):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        end = np.array([end_id], dtype=encode.kind).tobytes()
-        width = encode.kind.itemsize
-        packer = Packer(capacity, most_open)
-        held: dict[int, list] = {}  # by document: its id, ids, and how many have not left yet
-        number = 0
-        sequence = TaskContext.get().partitionId() << 33
-
-        def leave() -> Iterator[pa.RecordBatch]:
-            nonlocal sequence
-            for at in range(0, len(packer.closed), 512):
-                rows = []
-                for window in packer.closed[at : at + 512]:
-                    offset = 0
-                    for doc, start, length in window:
-                        own = held[doc]
-                        ids = np.frombuffer(own[1], encode.kind, length, start * width).astype("<u4").tobytes()
-                        rows.append((own[0], start, length, ids, len(own[1]) // width, sequence, offset))
-                        offset += length
-                        own[2] -= length
-                        if not own[2]:
-                            del held[doc]
-                    sequence += 1
-                yield _batch(rows)
-            packer.closed.clear()
-
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
-            for at in range(0, batch.num_rows, 1024):
-                doc_ids = ids.slice(at, 1024).to_pylist()
-                for doc_id, raw in zip(doc_ids, encode.encode(texts.slice(at, 1024).to_pylist()), strict=True):
-                    raw += end
-                    held[number] = [doc_id, raw, len(raw) // width]
-                    packer.place(number, len(raw) // width)
-                    number += 1
-                yield from leave()
-        packer.merge()
-        yield from leave()
+        with encoder(path) as encode:
+            end = np.array([end_id], dtype=encode.kind).tobytes()
+            width = encode.kind.itemsize
+            packer = Packer(capacity, most_open)
+            held: dict[int, list] = {}  # by document: its id, ids, and how many have not left yet
+            number = 0
+            sequence = TaskContext.get().partitionId() << 33
+
+            def leave() -> Iterator[pa.RecordBatch]:
+                nonlocal sequence
+                for at in range(0, len(packer.closed), 512):
+                    rows = []
+                    for window in packer.closed[at : at + 512]:
+                        offset = 0
+                        for doc, start, length in window:
+                            own = held[doc]
+                            ids = np.frombuffer(own[1], encode.kind, length, start * width).astype("<u4").tobytes()
+                            rows.append((own[0], start, length, ids, len(own[1]) // width, sequence, offset))
+                            offset += length
+                            own[2] -= length
+                            if not own[2]:
+                                del held[doc]
+                        sequence += 1
+                    yield _batch(rows)
+                packer.closed.clear()
+
+            for batch in batches:
+                ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
+                for at in range(0, batch.num_rows, 1024):
+                    doc_ids = ids.slice(at, 1024).to_pylist()
+                    for doc_id, raw in zip(doc_ids, encode.encode(texts.slice(at, 1024).to_pylist()), strict=True):
+                        raw += end
+                        held[number] = [doc_id, raw, len(raw) // width]
+                        packer.place(number, len(raw) // width)
+                        number += 1
+                    yield from leave()
+            packer.merge()
+            yield from leave()
 
     return each
 

@@ -156,21 +156,22 @@ MANIFEST = "name string, n_records long, n_tokens long, n_bytes long"
 
 def _write(path: str, folder: str, end_id: int, file_bytes: int):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        end = np.array([end_id], dtype=encode.kind).tobytes()
-        width, part, done, file = encode.kind.itemsize, TaskContext.get().partitionId(), [], None
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                rows = batch.slice(at, 1024)
-                raw = encode.encode(rows.column(1).cast(pa.binary()).to_pylist())
-                heads = [struct.pack(HEAD, i is not None, width, i or 0) for i in rows.column(0).to_pylist()]
-                file = file or _File(folder, f"{part:08d}-{len(done):06d}")
-                file.add(frame([h + r + end for h, r in zip(heads, raw, strict=True)]), sum(map(len, raw)) // width + len(raw))
-                if file.size >= file_bytes:
-                    done.append(file.close())
-                    file = None
-        if file:
-            done.append(file.close())
+        part, done, file = TaskContext.get().partitionId(), [], None
+        with encoder(path) as encode:
+            end = np.array([end_id], dtype=encode.kind).tobytes()
+            width = encode.kind.itemsize
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1024):
+                    rows = batch.slice(at, 1024)
+                    raw = encode.encode(rows.column(1).cast(pa.binary()).to_pylist())
+                    heads = [struct.pack(HEAD, i is not None, width, i or 0) for i in rows.column(0).to_pylist()]
+                    file = file or _File(folder, f"{part:08d}-{len(done):06d}")
+                    file.add(frame([h + r + end for h, r in zip(heads, raw, strict=True)]), sum(map(len, raw)) // width + len(raw))
+                    if file.size >= file_bytes:
+                        done.append(file.close())
+                        file = None
+            if file:
+                done.append(file.close())
         if done:
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
             names = ["name", "n_records", "n_tokens", "n_bytes"]

@@ -11,8 +11,9 @@ all documents, and windows that repeat are joined to maximal runs.
 Documents are dealt into pieces of some megabytes. A piece sends each key once,
 with many keys packed into a row, so a passage that a third of all documents
 share costs a key per piece, and no pairs of documents are made anywhere.
-Anchors compare at least 40 bits and the bucket, which can only let in needless
-windows; windows compare 64 bits and the bucket.
+Anchors compare 40 bits of a hash, which can only let in needless windows. What is removed
+is decided by two hashes of 64 bits each, of different seeds down to the bytes of every word: among
+10**13 windows two different ones agree with a probability below 10**-12.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from gaugeloom.llm.common import partitions, text_or_empty
 
 WINDOW = 13
 PIECE_BYTES = 8_000_000
-#: A second multiplier, so that blocks and windows are hashed apart.
-WINDOW_STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+#: Text whose block keys share a bucket, so that a bucket of any corpus fits a worker.
+BUCKET_BYTES = 32_000_000
 _DROP = np.uint64(24)
 _SHORT = np.uint64(40)
 
@@ -75,7 +76,8 @@ class _Piece:
                 at += size
         self.ids, self.known = np.concatenate(ids), np.concatenate(known)
         found = [wd.find_words(self.texts[a:b]) for a, b in wd.pieces(self.texts)]
-        self.hash = np.concatenate([wd.hashes(w) for w in found])
+        spelled = [wd.blocks(w.data, w.start, w.stop) for w in found]
+        self.hash, self.check = (np.concatenate([wd.block_hashes(s, seed) for s in spelled]) for seed in (0, 1))
         self.count = np.concatenate([np.diff(w.first) for w in found])
         self.first = np.concatenate([[0], np.cumsum(self.count)])
         self.doc = np.repeat(np.arange(len(self.count)), self.count)
@@ -86,15 +88,19 @@ class _Piece:
         """Key of the block at each word, and where a block begins."""
         return wd.windows(self.hash, block), self.joins & (self.left >= block)
 
-    def windows(self, window: int) -> tuple[np.ndarray, np.ndarray]:
-        return wd.windows(self.hash, window, WINDOW_STEP), self.joins & (self.left >= window)
+    def windows(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Two independent keys of the window at each word, and where a window begins."""
+        return wd.windows(self.hash, window, 1), wd.windows(self.check, window, 2), self.joins & (self.left >= window)
 
 
-def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order that sorts the keys, and where each distinct key begins in it."""
-    order = np.argsort(keys)
-    ranked = keys[order]
-    return order, np.concatenate([[0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1])
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts the keys, the first one before the others, and where each distinct one begins in it."""
+    order = np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
+    new = np.zeros(max(len(order) - 1, 0), dtype=bool)
+    for key in keys:
+        ranked = key[order]
+        new |= ranked[1:] != ranked[:-1]
+    return order, np.concatenate([[0], np.flatnonzero(new) + 1])
 
 
 def _five(short: np.ndarray) -> bytes:
@@ -179,7 +185,7 @@ def _shared_anchors(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     return _table(out, ["piece", "bucket", "keys"], 2)
 
 
-WINDOWS = "bucket long, piece long, keys binary, least binary, several binary"
+WINDOWS = "bucket long, piece long, keys binary, checks binary, least binary, several binary"
 
 
 def _found(sought: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +198,7 @@ def _window_keys(window: int, buckets: int):
     block = (window + 1) // 2
 
     def each(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["bucket", "piece", "keys", "least", "several"]
+        names = ["bucket", "piece", "keys", "checks", "least", "several"]
         if not right.num_rows or not left.num_rows:
             return _table([], names, 2)
         piece = _Piece(left, window)
@@ -202,14 +208,14 @@ def _window_keys(window: int, buckets: int):
         own = value[begins]
         hit[1:][begins] = _found((own % np.uint64(buckets)) << _SHORT | own >> _DROP, anchors)[1]
         upto = np.cumsum(hit)
-        value, begins = piece.windows(window)
+        value, check, begins = piece.windows(window)
         at = np.flatnonzero(begins)
         at = at[upto[at + window - block + 1] > upto[at]]
         out = []
         if len(at):
-            value, doc = value[at], piece.doc[at]
-            order, begin = _runs(value)
-            unique = value[order][begin]
+            value, check, doc = value[at], check[at], piece.doc[at]
+            order, begin = _runs(value, check)
+            unique, checks = value[order][begin], check[order][begin]
             least = np.minimum.reduceat(piece.ids[doc][order], begin)
             several = np.minimum.reduceat(doc[order], begin) != np.maximum.reduceat(doc[order], begin)
             bucket, dealt, edges = _by_bucket(unique, buckets)
@@ -217,7 +223,7 @@ def _window_keys(window: int, buckets: int):
                 if b > a:
                     own = dealt[a:b]
                     own = own[np.argsort(order[begin[own]])]  # in the order of the text, so that ids repeat
-                    out.append((int(bucket[own[0]]), key[0].as_py(), unique[own].tobytes(), least[own].tobytes(), np.packbits(several[own]).tobytes()))
+                    out.append((int(bucket[own[0]]), key[0].as_py(), unique[own].tobytes(), checks[own].tobytes(), least[own].tobytes(), np.packbits(several[own]).tobytes()))
         return _table(out, names, 2)
 
     return each
@@ -228,9 +234,10 @@ def _repeated_windows(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     rows = rows.to_pylist()
     parts = [np.frombuffer(r["keys"], dtype=np.uint64) for r in rows]
     value = np.concatenate(parts)
+    check = np.concatenate([np.frombuffer(r["checks"], dtype=np.uint64) for r in rows])
     least = np.concatenate([np.frombuffer(r["least"], dtype=np.int64) for r in rows])
     several = np.concatenate([_bits(r["several"], len(p)) for r, p in zip(rows, parts, strict=True)])
-    order, begin = _runs(value)
+    order, begin = _runs(value, check)
     runs = np.diff(np.concatenate([begin, [len(value)]]))
     first = np.empty(len(value), dtype=np.int64)
     first[order] = np.repeat(np.minimum.reduceat(least[order], begin), runs)
@@ -240,8 +247,8 @@ def _repeated_windows(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         own = slice(at, at + len(part))
         at += len(part)
         if keep[own].any():
-            out.append((r["piece"], part[keep[own]].tobytes(), first[own][keep[own]].tobytes()))
-    return _table(out, ["piece", "keys", "first"], 1)
+            out.append((r["piece"], part[keep[own]].tobytes(), check[own][keep[own]].tobytes(), first[own][keep[own]].tobytes()))
+    return _table(out, ["piece", "keys", "checks", "first"], 1)
 
 
 RESULT = "doc_id long, n_words long, n_removed long, runs array<struct<start:long,length:long>>, kept string"
@@ -260,13 +267,20 @@ def _cut(window: int):
         n = len(piece.hash)
         step = np.zeros(n + 1, dtype=np.int64)
         if right.num_rows:
-            known = np.concatenate([np.frombuffer(r, dtype=np.uint64) for r in right.column("keys").to_pylist()])
-            first = np.concatenate([np.frombuffer(r, dtype=np.int64) for r in right.column("first").to_pylist()])
-            order = np.argsort(known)
-            value, begins = piece.windows(window)
+            kinds = {"keys": np.uint64, "checks": np.uint64, "first": np.int64}
+            known, checks, first = (np.concatenate([np.frombuffer(r, dtype=t) for r in right.column(c).to_pylist()]) for c, t in kinds.items())
+            order = np.lexsort((checks, known))
+            known, checks, first = known[order], checks[order], first[order]
+            value, check, begins = piece.windows(window)
             at = np.flatnonzero(begins)
-            rank, there = _found(value[at], known[order])
-            at = at[there & (first[order][rank] < piece.ids[piece.doc[at]])]
+            rank, there = _found(value[at], known)
+            at, rank = at[there], rank[there]
+            while True:  # past entries that share the first key alone
+                other = np.flatnonzero((checks[rank] < check[at]) & (known[np.minimum(rank + 1, len(known) - 1)] == value[at]) & (rank + 1 < len(known)))
+                if not len(other):
+                    break
+                rank[other] += 1
+            at = at[(checks[rank] == check[at]) & (first[rank] < piece.ids[piece.doc[at]])]
             step[at] += 1
             step[at + window] -= 1
         gone = np.cumsum(step)[:n] > 0
@@ -306,9 +320,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, piece_bytes: int = PIE
     count = max(1, -(-size // piece_bytes))
     dealt = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).alias("piece"), "doc_id", "text")
     packed = dealt.mapInArrow(_pack, PACKED).repartition(n, "piece")
-    buckets = 4 * n
+    buckets = max(4 * n, -(-size // BUCKET_BYTES))
     anchors = packed.groupBy("piece").applyInArrow(_anchor_keys(window, buckets), ANCHORS)
     shared = anchors.groupBy("bucket").applyInArrow(_shared_anchors, "piece long, bucket long, keys binary")
     keyed = packed.groupBy("piece").cogroup(shared.groupBy("piece")).applyInArrow(_window_keys(window, buckets), WINDOWS)
-    repeated = keyed.groupBy("bucket").applyInArrow(_repeated_windows, "piece long, keys binary, first binary")
+    repeated = keyed.groupBy("bucket").applyInArrow(_repeated_windows, "piece long, keys binary, checks binary, first binary")
     return packed.groupBy("piece").cogroup(repeated.groupBy("piece")).applyInArrow(_cut(window), RESULT)

@@ -1,7 +1,7 @@
 """Token ids of whole batches of texts from a public vocabulary file.
 
-White space always ends a token of this kind of vocabulary, so a text is split
-at ASCII white space and each distinct chunk is encoded once. Most new chunks
+White space always ends a token of a vocabulary with word ends, so a text is split
+at ASCII white space and each distinct chunk is encoded once; with any other vocabulary whole texts are encoded. Most new chunks
 are letters with some punctuation behind, which this kind of vocabulary also parts: their
 letters are encoded many at a time, joined by spaces, as each of them is one word
 with one end token. Other chunks are joined by a special token.
@@ -10,14 +10,17 @@ with one end token. Other chunks are joined by a special token.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
 
 from gaugeloom.llm import words as wd
 
-#: Chunks a worker remembers before it begins anew.
-REMEMBERED = 1_200_000
+#: Bytes of chunks and their ids a task remembers before it begins anew, and what an entry costs beside its bytes.
+REMEMBERED = 64_000_000
+ENTRY = 150
 JOINED = 2000
 #: Text looked up together; the longer, the rarer a chunk is looked up again.
 PIECE_BYTES = 4_000_000
@@ -42,8 +45,15 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(END)]] = True
-        self.parted = bool(self.ends.any()) and "\\p{L}" in self.tokenizer.to_str()[:2000]
+        self.chunked = bool(self.ends.any())
+        self.parted = self.chunked and "\\p{L}" in self.tokenizer.to_str()[:2000]
         self.seen: dict[bytes, bytes] = {}
+        self.held = 0
+
+    def release(self) -> None:
+        """Forget all chunks, so that a worker kept for other tasks gives back their memory."""
+        self.seen = {}
+        self.held = 0
 
     def _raw(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -93,26 +103,36 @@ class Encoder:
             self.seen.update(self._cut(some, ids, np.r_[0, cuts + 1], np.r_[cuts, len(ids)]))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not self.chunked:
+            found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+            return [np.array(f.ids, dtype=self.kind).tobytes() for f in found]
         out: list[bytes] = []
         for a, b in wd.pieces(texts, PIECE_BYTES):
             out.extend(self._piece(texts[a:b]))
         return out
 
     def _piece(self, texts: list[bytes]) -> list[bytes]:
-        """Each distinct chunk of the texts is looked up once; 64-bit hashes tell chunks apart within these texts."""
+        """Each distinct chunk of the texts is looked up once. Chunks of equal hash are compared byte by byte."""
         words = wd.find_words(texts)
         if not len(words.start):
             return [b""] * len(texts)
-        _, where, which = np.unique(wd.hashes(words), return_index=True, return_inverse=True)
+        spelled = wd.blocks(words.data, words.start, words.stop)
+        _, where, which = np.unique(wd.block_hashes(spelled), return_index=True, return_inverse=True)
+        # A chunk that only shares its hash with another one stands for itself.
+        odd = np.flatnonzero(~wd.same(spelled, np.arange(len(which)), where[which]))
+        which[odd] = len(where) + np.arange(len(odd))
+        where = np.concatenate([where, odd])
         data = words.data.tobytes()
         chunks = [data[a:b] for a, b in zip(words.start[where].tolist(), words.stop[where].tolist(), strict=True)]
         found = list(map(self.seen.get, chunks))
         new = [c for c, ids in zip(chunks, found, strict=True) if ids is None]
         if new:
-            if len(self.seen) + len(new) > self.remembered:
-                self.seen.clear()
-                new = chunks
-            self._learn(new)
+            if self.held > self.remembered:
+                self.release()
+                new = list(dict.fromkeys(chunks))
+            before = len(self.seen)
+            self._learn(list(dict.fromkeys(new)))
+            self.held += sum(map(len, new)) * 2 + ENTRY * (len(self.seen) - before)
             found = list(map(self.seen.__getitem__, chunks))
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.kind.itemsize
         begin = np.cumsum(size) - size
@@ -124,12 +144,21 @@ class Encoder:
         return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """The encoder of this worker; what it has learned serves later tasks too."""
+@lru_cache(maxsize=1)
+def _loaded(path: str) -> Encoder:
     return Encoder(path)
 
 
+@contextmanager
+def encoder(path: str) -> Iterator[Encoder]:
+    """The encoder of this worker for one task. The vocabulary stays loaded, what the task has learned goes with it."""
+    own = _loaded(path)
+    try:
+        yield own
+    finally:
+        own.release()
+
+
 def wide(raw: bytes, kind: np.dtype) -> np.ndarray:
     """Stored ids as little-endian unsigned 32-bit numbers."""
     return np.frombuffer(raw, dtype=kind).astype("<u4")

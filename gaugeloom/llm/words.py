@@ -13,8 +13,6 @@ from typing import NamedTuple
 import numpy as np
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
-#: Odd, so that it has an inverse modulo 2**64.
-STEP = np.uint64(0xD6E8FEB86659FD93)
 PIECE_BYTES = 2_000_000
 
 SPACE = np.zeros(256, dtype=bool)
@@ -68,17 +66,6 @@ def find_words(texts: list[bytes], space: np.ndarray = SPACE) -> Words:
     return Words(data, start, stop, first)
 
 
-_powers = np.ones(1, dtype=np.uint64)
-_inverse = np.ones(1, dtype=np.uint64)
-
-
-def _grow(n: int) -> None:
-    global _powers, _inverse
-    if len(_powers) < n:
-        back = np.uint64(pow(int(STEP), -1, 1 << 64))
-        _powers, _inverse = (np.cumprod(np.r_[np.ones(1, np.uint64), np.full(n, step)]) for step in (STEP, back))
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread a 64-bit number over all its bits (the finaliser of MurmurHash3)."""
     h = h ^ (h >> np.uint64(33))
@@ -89,28 +76,77 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def spans(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, from one running sum over all of them."""
-    n = len(data)
-    _grow(n + 1)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + BASE) * _powers[:n], out=total[1:])
-    return mix((total[stop] - total[start]) * _inverse[start])
-
-
-def hashes(words: Words) -> np.ndarray:
-    return spans(words.data, words.start, words.stop)
-
-
-def windows(word_hash: np.ndarray, length: int, factor: np.uint64 = BASE) -> np.ndarray:
+class Blocks(NamedTuple):
+    """The bytes of spans as numbers of eight bytes; those of span i begin at ``begin[i]``.
+
+    The last block of a span of eight bytes or more ends with the span, so it may
+    overlap the one before; a shorter span is one block filled up with zeros. Two
+    spans are equal exactly if their sizes and blocks are.
+    """
+
+    value: np.ndarray
+    begin: np.ndarray
+    count: np.ndarray
+    size: np.ndarray
+
+
+def blocks(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> Blocks:
+    size = stop - start
+    count = np.maximum(1, (size + 7) >> 3)
+    begin = np.cumsum(count) - count
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    loads = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    if len(count) and int(count.max()) > 1:
+        place = np.arange(int(begin[-1] + count[-1])) - np.repeat(begin, count)
+        at = np.minimum(np.repeat(start, count) + 8 * place, np.repeat(np.maximum(start, stop - 8), count))
+    else:
+        at = start
+    value = loads[at]
+    short = np.flatnonzero(size < 8)
+    value[begin[short]] &= (np.uint64(1) << (size[short].astype(np.uint64) << np.uint64(3))) - np.uint64(1)
+    return Blocks(value, begin, count, size)
+
+
+def block_hashes(found: Blocks, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each span: the sum of its blocks, each spread by its own place before it is added.
+
+    No block acts on the sum in a way that another one could undo, other than by chance.
+    """
+    if not len(found.begin):
+        return np.zeros(0, dtype=np.uint64)
+    key = mix(np.array([2 * seed + 1], dtype=np.uint64))
+    if len(found.value) == len(found.begin):
+        total = mix(found.value + key)
+    else:
+        place = np.arange(len(found.value), dtype=np.uint64) - np.repeat(found.begin, found.count).astype(np.uint64)
+        total = np.add.reduceat(mix(found.value + mix(place + key)), found.begin)
+    return mix(total + BASE * found.size.astype(np.uint64))
+
+
+def same(found: Blocks, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether the spans numbered ``one`` and ``other`` hold the same bytes."""
+    good = found.size[one] == found.size[other]
+    near = np.flatnonzero(good)
+    count = found.count[one[near]]
+    first = np.cumsum(count) - count
+    step = np.arange(int(count.sum())) - np.repeat(first, count)
+    differs = found.value[np.repeat(found.begin[one[near]], count) + step] != found.value[np.repeat(found.begin[other[near]], count) + step]
+    if len(near):
+        good[near] = ~np.logical_or.reduceat(differs, first)
+    return good
+
+
+def hashes(words: Words, seed: int = 0) -> np.ndarray:
+    return block_hashes(blocks(words.data, words.start, words.stop), seed)
+
+
+def windows(word_hash: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """Hash of ``length`` consecutive words from every position on; positions near the end see fewer."""
     n = len(word_hash)
     out = np.zeros(n, dtype=np.uint64)
-    weight = np.uint64(1)
-    with np.errstate(over="ignore"):
-        for k in range(min(length, n)):
-            out[: n - k] += word_hash[k:] * weight
-            weight = weight * (factor | np.uint64(1))
+    weights = mix(np.arange(1, length + 1, dtype=np.uint64) + BASE * np.uint64(seed + 1)) | np.uint64(1)
+    for k in range(min(length, n)):
+        out[: n - k] += word_hash[k:] * weights[k]
     return mix(out)
 
 

@@ -72,3 +72,10 @@ def test_runs_are_maximal(spark):
     second = substring.remove_repeats(docs).where("doc_id = 2").first()
     assert [tuple(r) for r in second.runs] == [(1, 100)]
     assert second.kept == "x y"
+
+
+def test_words_that_sum_alike(spark):
+    """Long words whose polynomials agree modulo 2**64 are different words."""
+    one, two = ("".join(x[bin(i).count("1") % 2] for i in range(2048)) for x in ("ab", "ba"))
+    rows = [(1, " ".join([one] * 14)), (2, " ".join([two] * 14)), (3, " ".join([one] * 13))]
+    assert run(spark, rows) == plain(rows)

@@ -7,8 +7,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from gaugeloom.llm import packing, records
-from gaugeloom.llm.tokens import Encoder
+from gaugeloom.llm import packing, records, words
+from gaugeloom.llm.tokens import Encoder, encoder
 from gaugeloom.session import shared_dir
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -147,3 +147,39 @@ def test_placement_keeps_the_sum_of_squares_least():
         packer.place(doc, size)
         assert square([int(x) for x in packer.level]) == min(options)
     assert packer.open == packer.level.sum()
+
+
+def thue_morse(letters, n):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("length", [1024, 2048])
+def test_words_that_sum_alike(spark, length):
+    """A word and its complement, whose polynomials agree modulo 2**64, get their own ids."""
+    texts = [thue_morse("ab", length), thue_morse("ba", length)]
+    found = words.find_words([t.encode() for t in texts])
+    assert len(set(words.hashes(found).tolist())) == 2
+    got = Encoder(PATH).encode([" ".join(texts).encode()])[0]
+    assert np.frombuffer(got, "<u2").tolist() == ids_of(" ".join(texts))[:-1]
+
+
+def test_equal_hashes_are_told_apart(monkeypatch):
+    monkeypatch.setattr(words, "block_hashes", lambda spelled, seed=0: spelled.size.astype(np.uint64))
+    texts = ["one two six", "ten eleven twelve two", "", "abcdefgh abcdefgi abcdefghabcdefgh abcdefgiabcdefgh"]
+    got = Encoder(PATH).encode([t.encode() for t in texts])
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [ids_of(t)[:-1] for t in texts]
+
+
+def test_what_a_task_learned_goes_with_it():
+    with encoder(PATH) as own:
+        own.encode([b"some words here"])
+        assert own.seen and own.held
+    assert not own.seen and not own.held
+
+
+def test_vocabulary_without_word_ends():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [t or "" for _, t in rows()]
+    plain = Tokenizer.from_file(path)
+    got = Encoder(path).encode([t.encode() for t in texts])
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
