@@ -42,3 +42,17 @@ def chunk_of(t: Column, seconds: int) -> Column:
     """Number of the fixed-width stretch of time that ``t`` falls into."""
     s = epoch_seconds(t)
     return F.floor(s / F.lit(seconds)).cast("bigint")
+
+
+def year_start(year: Column) -> Column:
+    return F.make_timestamp_ntz(year, *[F.lit(n) for n in (1, 1, 0, 0, 0)])
+
+
+def first_step(t: Column, step_seconds: int) -> Column:
+    """Number of the first step at or after a time, counted from the epoch."""
+    return F.ceil(epoch_seconds(t) / F.lit(step_seconds)).cast("bigint")
+
+
+def calendar_steps(year: Column, step_seconds: int) -> Column:
+    """Number of steps in a calendar year."""
+    return first_step(year_start(year + 1), step_seconds) - first_step(year_start(year), step_seconds)

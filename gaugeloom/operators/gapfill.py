@@ -21,10 +21,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from gaugeloom.config import MAX_EXTRAP, MAX_GAP, TREND_POINTS
+from gaugeloom.config import MAX_EXTRAP, MAX_GAP, STEP_SECONDS, TREND_POINTS
 from gaugeloom.functions.scalar import band
 from gaugeloom.operators.chunks import with_neighbours
-from gaugeloom.operators.grid import CHUNK_CELLS, grid_cells, time_axis
+from gaugeloom.operators.grid import CHUNK_CELLS, grid_cells, placed, slot_time, time_axis
 from gaugeloom.operators.profile import with_rank
 
 OBSERVED = "observed"
@@ -41,6 +41,8 @@ def gap_runs(
     axis_keys: Sequence[str] = ("year",),
     time: str = "time",
     chunk_cells: int = CHUNK_CELLS,
+    step_seconds: int = STEP_SECONDS,
+    calendar: bool = False,
 ) -> DataFrame:
     """Runs ``[gap_start, gap_end)`` of missing cells with their length and neighbours.
 
@@ -49,11 +51,9 @@ def gap_runs(
     cell have no runs.
     """
     keys = [*axis_keys, *series_keys]
-    axis = time_axis(obs, axis_keys, time)
+    axis = time_axis(obs, axis_keys, time, step_seconds, calendar)
     valid = (
-        obs.filter(F.col(value).isNotNull())
-        .select(*keys, time, value)
-        .join(axis, [*axis_keys, time])
+        placed(obs.filter(F.col(value).isNotNull()).select(*keys, time, value), axis, axis_keys, time, step_seconds)
         .select(*keys, "pos", "n_pos", F.col(value).alias("_v"))
         .withColumn("chunk", F.floor(F.col("pos") / F.lit(chunk_cells)).cast("int"))
     )
@@ -149,10 +149,13 @@ def fill_gaps(
     trend_points: int = TREND_POINTS,
     chunk_cells: int = CHUNK_CELLS,
     carried: Sequence[str] = (),
+    step_seconds: int = STEP_SECONDS,
+    calendar: bool = False,
 ) -> DataFrame:
     """Densify, interpolate and extrapolate every value column.
 
-    Columns in ``carried`` travel along unfilled. Returns ``axis_keys,
+    The steps of a group are those that any of its stations reports, or with ``calendar`` all steps of its
+    calendar years. Columns in ``carried`` travel along unfilled. Returns ``axis_keys,
     series_keys, time, pos``, these, and per value column ``c`` the
     filled ``c`` plus ``c_method``, one of ``observed``, ``interpolated``,
     ``extrapolated_forward``, ``extrapolated_backward`` and ``missing``.
@@ -165,8 +168,8 @@ def fill_gaps(
     """
     keys = [*axis_keys, *series_keys]
     halo = max_gap + max_extrap + trend_points
-    axis = time_axis(obs, axis_keys, time)
-    cells = grid_cells(obs, axis, [*value_cols, *carried], series_keys, axis_keys, time, halo, chunk_cells)
+    axis = time_axis(obs, axis_keys, time, step_seconds, calendar)
+    cells = grid_cells(obs, axis, [*value_cols, *carried], series_keys, axis_keys, time, halo, chunk_cells, step_seconds)
     along = Window.partitionBy(*keys, "chunk").orderBy("pos")
 
     so_far = along.rowsBetween(Window.unboundedPreceding, 0)
@@ -197,12 +200,7 @@ def fill_gaps(
         filled += [F.coalesce(*[s[1] for s in steps]).alias(c), method.alias(f"{c}_method")]
 
     own = F.floor(F.col("pos") / F.lit(chunk_cells)) == F.col("chunk")
-    return (
-        lined.filter(own)
-        .select(*keys, "pos", *carried, *filled)
-        .join(axis.drop("n_pos"), [*axis_keys, "pos"])
-        .select(*keys, time, "pos", *carried, *[c for v in value_cols for c in (v, f"{v}_method")])
-    )
+    return lined.filter(own).select(*keys, slot_time(step_seconds).alias(time), "pos", *carried, *filled)
 
 
 def interpolate(obs: DataFrame, max_gap: int = MAX_GAP, **options) -> DataFrame:

@@ -4,31 +4,75 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeloom.config import DAY_SECONDS, STEP_SECONDS
-from gaugeloom.functions.times import day_start, plus_seconds, seconds_between
+from gaugeloom.functions.times import day_start, epoch_seconds, first_step, from_seconds, plus_seconds, seconds_between, year_start
 from gaugeloom.session import stored
 
 # Cells of a series that share a task; a series of any length is cut into such pieces.
 CHUNK_CELLS = 4096
 
 
-def time_axis(obs: DataFrame, axis_keys: Sequence[str] = ("year",), time: str = "time") -> DataFrame:
-    """The distinct times of every axis group with their position and the axis length.
+def slot_of(time: Column, step_seconds: int) -> Column:
+    """Number of the step a time lies on, counted from the epoch; a time between two steps is an error."""
+    seconds = epoch_seconds(time)
+    off = F.raise_error(F.concat(F.lit(f"not on a step of {step_seconds} seconds: "), time.cast("string"))).cast("bigint")
+    return F.when(F.pmod(seconds, F.lit(step_seconds)) == 0, F.floor(seconds / F.lit(step_seconds)).cast("bigint")).otherwise(off)
 
-    Rows are bounded by calendar span / time step, whatever the number of
-    stations. The table is stored, because several joins use it.
+
+def time_axis(
+    obs: DataFrame,
+    axis_keys: Sequence[str] = ("year",),
+    time: str = "time",
+    step_seconds: int = STEP_SECONDS,
+    calendar: bool = False,
+) -> DataFrame:
+    """One row per axis group: ``n_pos`` and the steps that belong to it, as words of 64 bits.
+
+    The steps are those that any station reports, or with ``calendar`` all steps of the calendar years in
+    which something is reported. ``words`` holds (word, bits, before) without holes from ``first_word`` on;
+    ``before`` counts the steps in earlier words. So the position of a time follows
+    from its step by arithmetic. Rows are few and short: ten years of 10-minute steps take some hundred kilobytes.
     """
-    group = Window.partitionBy(*axis_keys)
-    axis = (
-        obs.select(*axis_keys, time)
-        .distinct()
-        .withColumn("pos", F.row_number().over(group.orderBy(time)) - 1)
-        .withColumn("n_pos", F.count(F.lit(1)).over(group).cast("int"))
+    keys = list(axis_keys)
+    if calendar:
+        edge = lambda year: first_step(year_start(year), step_seconds)
+        years = obs.filter(F.col(time).isNotNull()).select(*keys, F.year(time).alias("_year")).distinct()
+        spans = years.select(*keys, edge(F.col("_year")).alias("_first"), (edge(F.col("_year") + 1) - 1).alias("_last")).filter("_first <= _last")
+        word = lambda c: F.floor(F.col(c) / F.lit(64)).cast("bigint")
+        parts = spans.withColumn("word", F.explode(F.sequence(word("_first"), word("_last"))))
+        lo = F.greatest(F.col("_first") - F.col("word") * 64, F.lit(0)).cast("int")
+        hi = F.least(F.col("_last") - F.col("word") * 64, F.lit(63)).cast("int")
+        some = F.call_function("shiftleft", F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), F.lit(63) - hi + lo), lo)
+        parts = parts.select(*keys, "word", some.alias("bits"))
+    else:
+        slot = obs.filter(F.col(time).isNotNull()).select(*keys, slot_of(F.col(time), step_seconds).alias("_slot"))
+        bit = F.pmod("_slot", F.lit(64)).cast("int")
+        parts = slot.select(*keys, F.floor(F.col("_slot") / F.lit(64)).cast("bigint").alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("bits"))
+    group = Window.partitionBy(*keys)
+    size = F.bit_count("bits").cast("bigint")
+    counted = (
+        parts.groupBy(*keys, "word")
+        .agg(F.bit_or("bits").alias("bits"))
+        .withColumn("before", F.sum(size).over(group.orderBy("word")) - size)
+        .withColumn("n_pos", F.sum(size).over(group).cast("int"))
     )
-    return stored(axis, "axis")
+    entries = F.map_from_entries(F.collect_list(F.struct("word", F.struct("word", "bits", F.col("before").cast("int").alias("before")))))
+    axis = counted.groupBy(*keys, "n_pos").agg(entries.alias("_entries"), F.min("word").alias("first_word"), F.max("word").alias("_last"))
+    words = F.transform(F.sequence("first_word", "_last"), lambda w: F.element_at("_entries", w))
+    return stored(axis.select(*keys, "n_pos", "first_word", words.alias("words")), "axis")
+
+
+def placed(obs: DataFrame, axis: DataFrame, axis_keys: Sequence[str], time: str, step_seconds: int) -> DataFrame:
+    """The rows with their step ``slot``, its position ``pos`` and the axis length ``n_pos``; rows without a time drop out."""
+    given = obs.filter(F.col(time).isNotNull()).withColumn("slot", slot_of(F.col(time), step_seconds))
+    bit = F.pmod("slot", F.lit(64)).cast("int")
+    entry = F.get("words", (F.floor(F.col("slot") / F.lit(64)) - F.col("first_word")).cast("int"))
+    lower = F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("bigint"), bit))
+    pos = entry.before + F.bit_count(entry.bits.bitwiseAND(lower))
+    return given.join(axis, list(axis_keys)).select(*obs.columns, "slot", pos.cast("int").alias("pos"), "n_pos")
 
 
 def grid_cells(
@@ -40,68 +84,90 @@ def grid_cells(
     time: str = "time",
     halo: int = 0,
     chunk_cells: int = CHUNK_CELLS,
+    step_seconds: int = STEP_SECONDS,
 ) -> DataFrame:
-    """Dense cells ``axis_keys, series_keys, chunk, pos, n_pos, value_cols``.
+    """Dense cells ``axis_keys, series_keys, chunk, pos, n_pos, slot, value_cols``.
 
     Observations and one skeleton row per series chunk are shuffled together;
     the skeleton is blown up to cells only after the shuffle, so absent cells
-    never travel. With ``halo`` > 0 a chunk also holds that many cells of its
+    never travel. Each cell knows its step, so no time is looked up. With ``halo`` > 0 a chunk also holds that many cells of its
     neighbours, for operators that look a bounded distance left and right.
     """
     keys = [*axis_keys, *series_keys]
     size = F.lit(chunk_cells)
     last_chunk = ((F.col("n_pos") - 1) / size).cast("int")
+    part = "array<struct<word:bigint,bits:bigint,before:int>>"
 
-    placed = obs.select(*keys, time, *value_cols).join(axis, [*axis_keys, time])
+    here = placed(obs.select(*keys, time, *value_cols), axis, axis_keys, time, step_seconds)
     first_home = F.greatest(F.lit(0), F.floor((F.col("pos") - halo) / size).cast("int"))
     last_home = F.least(last_chunk, F.floor((F.col("pos") + halo) / size).cast("int"))
     if halo:
-        placed = placed.withColumn("chunk", F.explode(F.sequence(first_home, last_home)))
+        here = here.withColumn("chunk", F.explode(F.sequence(first_home, last_home)))
     else:
-        placed = placed.withColumn("chunk", F.floor(F.col("pos") / size).cast("int"))
-    placed = placed.select(*keys, "chunk", "n_pos", F.col("pos").alias("_lo"), F.col("pos").alias("_hi"), *value_cols)
+        here = here.withColumn("chunk", F.floor(F.col("pos") / size).cast("int"))
+    here = here.select(
+        *keys, "chunk", "n_pos", F.col("pos").alias("_lo"), F.col("pos").alias("_hi"), F.col("pos").alias("_from"),
+        F.col("slot").alias("_slot"), F.lit(None).cast(part).alias("_words"), *value_cols,
+    )
 
-    lengths = axis.groupBy(*axis_keys).agg(F.max("n_pos").alias("n_pos"))
+    lo = F.greatest(F.lit(0), F.col("chunk") * size - halo)
+    hi = F.least(F.col("n_pos"), (F.col("chunk") + 1) * size + halo) - 1
+    inside = F.filter("words", lambda w: w.isNotNull() & (w.before <= F.col("_hi")) & (w.before + F.bit_count(w.bits) > F.col("_lo")))
+    chunks = (
+        axis.withColumn("chunk", F.explode(F.sequence(F.lit(0), last_chunk)))
+        .withColumns({"_lo": lo.cast("int"), "_hi": hi.cast("int")})
+        .select(*axis_keys, "chunk", "n_pos", "_lo", "_hi", inside.alias("_words"))
+    )
     types = dict(obs.dtypes)
     skeleton = (
-        obs.select(*keys)
+        obs.filter(F.col(time).isNotNull())
+        .select(*keys)
         .distinct()
-        .join(lengths, list(axis_keys))
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), last_chunk)))
+        .join(chunks, list(axis_keys))
         .select(
-            *keys,
-            "chunk",
-            "n_pos",
-            F.greatest(F.lit(0), F.col("chunk") * size - halo).alias("_lo"),
-            (F.least(F.col("n_pos"), (F.col("chunk") + 1) * size + halo) - 1).alias("_hi"),
-            *[F.lit(None).cast(types[c]).alias(c) for c in value_cols],
-        )
+            *keys, "chunk", "n_pos", "_lo", "_hi", F.get("_words", F.lit(0)).before.alias("_from"), F.lit(None).cast("bigint").alias("_slot"),
+            F.col("_words").cast(part).alias("_words"), *[F.lit(None).cast(types[c]).alias(c) for c in value_cols],
+        )
     )
+    bits = F.sequence(F.lit(0).cast("bigint"), F.lit(63).cast("bigint"))
+    is_set = lambda w, b: F.call_function("getbit", w.bits, b.cast("int")) == 1
+    steps = F.flatten(F.transform("_words", lambda w: F.transform(F.filter(bits, lambda b: is_set(w, b)), lambda b: w.word * 64 + b)))
     # A fixed number of partitions: the cells outgrow what the shuffle saw, so
     # merging partitions by shuffled size would make the tasks too large.
     tasks = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        placed.unionByName(skeleton)
+        here.unionByName(skeleton)
         .repartition(tasks, *keys, "chunk")
-        .withColumn("pos", F.explode(F.sequence("_lo", "_hi")))
-        .groupBy(*keys, "chunk", "pos", "n_pos")
+        .select("*", F.posexplode(F.when(F.col("_slot").isNotNull(), F.array("_slot")).otherwise(steps)).alias("_at", "slot"))
+        .withColumn("pos", F.col("_from") + F.col("_at"))
+        .filter("pos BETWEEN _lo AND _hi")
+        .groupBy(*keys, "chunk", "pos", "n_pos", "slot")
         .agg(*[F.max(c).alias(c) for c in value_cols])
     )
 
 
+def slot_time(step_seconds: int) -> Column:
+    """The time of a cell's step."""
+    return from_seconds(F.col("slot") * F.lit(step_seconds))
+
+
 def densify_grid(
     obs: DataFrame,
     value_cols: Sequence[str],
     series_keys: Sequence[str] = ("station_id",),
     axis_keys: Sequence[str] = ("year",),
     time: str = "time",
+    step_seconds: int = STEP_SECONDS,
+    calendar: bool = False,
 ) -> DataFrame:
-    """Every station of an axis group at every time of that group; absent cells are NULL."""
-    axis = time_axis(obs, axis_keys, time)
-    cells = grid_cells(obs, axis, value_cols, series_keys, axis_keys, time)
-    return cells.join(axis.drop("n_pos"), [*axis_keys, "pos"]).select(
-        *axis_keys, *series_keys, time, "pos", *value_cols
-    )
+    """Every station of an axis group at every step of that group; absent cells are NULL.
+
+    The steps of a group are those that any of its stations reports, or with
+    ``calendar`` all steps of its calendar years, also those that nobody reported.
+    """
+    axis = time_axis(obs, axis_keys, time, step_seconds, calendar)
+    cells = grid_cells(obs, axis, value_cols, series_keys, axis_keys, time, step_seconds=step_seconds)
+    return cells.select(*axis_keys, *series_keys, slot_time(step_seconds).alias(time), "pos", *value_cols)
 
 
 def expand_steps(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.config import CHECK_EXEMPT, DAY_SECONDS, ENOUGH_ROWS_RATIO, MAX_MISSING_PCT, STEP_SECONDS
 from gaugeloom.functions.scalar import band, cleaned_long
-from gaugeloom.functions.times import chunk_of
+from gaugeloom.functions.times import calendar_steps, chunk_of
 
 CHUNK_SECONDS = 32 * DAY_SECONDS
 SERIES = ("year", "variable", "station_id")
@@ -24,24 +24,32 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole * 100.0).otherwise(0.0)
 
 
-def cube_axes(obs: DataFrame) -> DataFrame:
-    """Stations and times of every year, over all variables."""
-    return obs.groupBy("year").agg(
-        F.count_distinct("station_id").alias("n_stations"), F.count_distinct("time").alias("n_times")
-    )
+def cube_axes(obs: DataFrame, calendar: bool = False, step_seconds: int = STEP_SECONDS) -> DataFrame:
+    """Stations and times of every year, over all variables; with ``calendar`` a year has all its steps."""
+    stations = F.count_distinct("station_id").alias("n_stations")
+    if calendar:
+        return obs.groupBy("year").agg(stations).withColumn("n_times", calendar_steps(F.col("year"), step_seconds))
+    return obs.groupBy("year").agg(stations, F.count_distinct("time").alias("n_times"))
+
 
+def profile_missing(obs: DataFrame, calendar: bool = False, step_seconds: int = STEP_SECONDS) -> DataFrame:
+    """Missing and infinite cells per year and variable, over the dense cube.
 
-def profile_missing(obs: DataFrame) -> DataFrame:
-    """Missing and infinite cells per year and variable, over the dense cube."""
+    The cube holds the steps that any station reports, or with ``calendar`` every step of the year.
+    """
     present = obs.groupBy("year", "variable").agg(
         F.count("value").alias("present"),
         F.count_if(F.abs("value") == float("inf")).alias("inf_count"),
     )
-    return _missing_profile(present, cube_axes(obs))
+    return _missing_profile(present, cube_axes(obs, calendar, step_seconds))
 
 
 def profile_missing_wide(
-    obs: DataFrame, variables: Sequence[str], existing: DataFrame | None = None
+    obs: DataFrame,
+    variables: Sequence[str],
+    existing: DataFrame | None = None,
+    calendar: bool = False,
+    step_seconds: int = STEP_SECONDS,
 ) -> DataFrame:
     """The same for a table with one column per variable, without a row per variable and cell.
 
@@ -63,7 +71,7 @@ def profile_missing_wide(
     present = counts.select("year", F.inline(per_variable))
     if existing is not None:
         present = present.join(existing, ["year", "variable"], "left_semi")
-    return _missing_profile(present, cube_axes(obs))
+    return _missing_profile(present, cube_axes(obs, calendar, step_seconds))
 
 
 def _missing_profile(present: DataFrame, axes: DataFrame) -> DataFrame:

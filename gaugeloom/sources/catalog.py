@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeloom.functions.scalar import parse_day
@@ -60,14 +60,27 @@ def storage_inventory(files: DataFrame, group: str = "fold", length: str = "leng
     )
 
 
+# What matters within an anchor tag: a link with its value, other quoted text, the end of the tag. Every loop is over
+# single characters and gives nothing back, so tags of any length need no stack.
+TAG_PARTS = r"""\s(?i:href)\s*+=\s*+(?:"[^"]++"|'[^']++'|[^\s"'>]++)|"[^"]*+"|'[^']*+'|>"""
+
+
 def extract_links(pages: DataFrame, suffix: str = ".zip", html: str = "html") -> DataFrame:
     """Targets of the anchors of a page that end in ``suffix``, in page order.
 
-    A target may stand in double, single or no quotes; comments hold no anchors.
+    A target may stand in double, single or no quotes; comments hold no anchors. The first link
+    before the end of a tag counts, and > within quotes ends no tag. A tag that is never closed
+    reaches to the next anchor.
     """
     shown = F.regexp_replace(html, r"(?s)<!--.*?(-->|$)", " ")
-    anchor = r"""(?i)<a(?=\s)(?:[^>"']|"[^"]*"|'[^']*')*?\shref\s*=\s*("[^"]+"|'[^']+'|[^\s"'>]+)"""
-    targets = F.transform(F.regexp_extract_all(shown, F.lit(anchor), F.lit(1)), lambda t: F.regexp_replace(t, r"""^["']|["']$""", ""))
+    rests = F.split(shown, r"(?i)<a(?=\s)")
+
+    def target(rest: Column) -> Column:
+        parts = F.regexp_extract_all(rest, F.lit(TAG_PARTS), F.lit(0))
+        first = F.get(F.filter(parts, lambda t: ~t.startswith('"') & ~t.startswith("'")), F.lit(0))
+        return F.when(first != ">", F.regexp_replace(first, r"""^\s(?i:href)\s*+=\s*+["']?|["']$""", ""))
+
+    targets = F.filter(F.transform(F.slice(rests, F.lit(2), F.size(rests)), target), lambda t: t.isNotNull())
     return (
         pages.select(*[c for c in pages.columns if c != html], F.posexplode(targets).alias("position", "link"))
         .filter(F.col("link").endswith(suffix))

@@ -158,3 +158,52 @@ def test_densify_is_stations_by_times_of_the_year(spark):
     later = obs.withColumns({"year": F.lit(2025), "time": F.timestamp_add("YEAR", F.lit(1), "time")}).filter("i < 2")
     dense = densify_grid(obs.unionByName(later), ["value"])
     assert {r.year: r["count"] for r in dense.groupBy("year").count().collect()} == {2024: 6, 2025: 4}
+
+
+def at(text):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def test_calendar_holds_steps_nobody_reported(spark):
+    """Hourly steps of two years, a step missing everywhere; positions count from the first step of the year."""
+    rows = [(2023, 1, "2023-12-31 21:00:00", 1.0), (2023, 1, "2023-12-31 23:00:00", 3.0), (2024, 1, "2024-01-01 02:00:00", 5.0), (2024, 2, "2024-02-29 00:00:00", 7.0)]
+    obs = spark.createDataFrame(rows, "year int, station_id long, t string, value double").withColumn("time", F.col("t").cast("timestamp_ntz"))
+    reported = fill_gaps(obs, step_seconds=3600)
+    assert {(r.year, r.pos) for r in reported.collect()} == {(2023, 0), (2023, 1), (2024, 0), (2024, 1)}
+    filled = fill_gaps(obs, step_seconds=3600, calendar=True)
+    sizes = {(r.year, r.station_id): r["count"] for r in filled.groupBy("year", "station_id").count().collect()}
+    assert sizes == {(2023, 1): 8760, (2024, 1): 8784, (2024, 2): 8784}
+    between = filled.filter(F.col("time") == at("2023-12-31 22:00:00")).collect()
+    assert [(r.pos, r.value, r.value_method) for r in between] == [(8758, 2.0, "interpolated")]
+    assert filled.filter(F.col("time").isNull()).count() == 0
+    first = filled.filter("pos = 0").select("year", "time").distinct().collect()
+    assert sorted((r.year, r.time.isoformat()) for r in first) == [(2023, "2023-01-01T00:00:00"), (2024, "2024-01-01T00:00:00")]
+    (gap,) = gap_runs(obs.filter("year = 2023"), step_seconds=3600, calendar=True, chunk_cells=5).filter("left_value = 1").collect()
+    assert (gap.gap_start, gap.gap_end, gap.right_value) == (8758, 8759, 3.0)
+
+
+@pytest.mark.parametrize("calendar", [False, True])
+def test_positions_with_holes_in_the_axis(spark, calendar):
+    """Steps far apart, before 1970 and across the words of 64 steps; chunks of a few cells see their neighbours."""
+    rnd = random.Random(8)
+    steps = sorted(rnd.sample(range(-300, 500), 60))
+    cells = {(s, k): float(rnd.randrange(9)) for s in (1, 2) for k in steps if rnd.random() < 0.6}
+    steps = sorted({k for _, k in cells})
+    rows = [(s, k, v) for (s, k), v in cells.items()]
+    time = F.timestamp_add("MINUTE", F.col("k") * 10, at("1969-06-01"))
+    obs = spark.createDataFrame(rows, "station_id long, k int, value double").withColumn("time", time).withColumn("year", F.year("time"))
+    got = {(r.station_id, r.time): r for r in fill_gaps(obs, chunk_cells=3, calendar=calendar).collect()}
+    whole = {(r.station_id, r.time): r for r in fill_gaps(obs, calendar=calendar).collect()}
+    assert {k: (r.value, r.value_method, r.pos) for k, r in got.items()} == {k: (r.value, r.value_method, r.pos) for k, r in whole.items()}
+    if not calendar:
+        assert sorted({r.pos for r in got.values()}) == list(range(len(steps))) and len(got) == 2 * len(steps)
+        for s in (1, 2):
+            values, how = filled_one_by_one([cells.get((s, k)) for k in steps])
+            own = sorted((r.pos, r.value_method) for (station, _), r in got.items() if station == s)
+            assert [h for _, h in own] == how
+
+
+def test_a_time_off_the_step_is_an_error(spark):
+    obs = spark.createDataFrame([(2024, 1, 1.0)], "year int, station_id long, value double").withColumn("time", at("2024-01-01 00:05:00"))
+    with pytest.raises(Exception, match="not on a step of 600 seconds"):
+        fill_gaps(obs).collect()

@@ -46,4 +46,20 @@ def test_grid_skeleton_travels_as_ranges(spark):
     obs = spark.createDataFrame([], "year int, station_id long, time timestamp_ntz, a double")
     plan = physical(grid.densify_grid(obs, ["a"]))
     # Cells appear above the shuffle: the generator comes before it in the printed tree.
-    assert plan.index("explode(sequence(_lo") < plan.index("Exchange hashpartitioning")
+    assert plan.index("posexplode(") < plan.index("Exchange hashpartitioning(year")
+
+
+def test_no_cell_is_joined(spark):
+    """35 years of 10-minute steps: positions and times are arithmetic, only observations meet the short axis table."""
+    obs = spark.range(35).selectExpr(
+        "cast(1990 + id AS int) AS year", "id AS station_id", "make_timestamp_ntz(cast(1990 + id AS int), 2, 3, 4, 50, 0) AS time", "1.0D AS a"
+    )
+    for calendar in (False, True):
+        axis = grid.time_axis(obs, calendar=calendar)
+        assert axis.count() == 35
+        if calendar:
+            assert {r.n_pos for r in axis.collect()} == {52560, 52704}
+        plan = physical(gapfill.fill_gaps(obs, ["a"], calendar=calendar))
+        cells, _, rows = plan.partition("posexplode(")
+        assert "Join" not in cells and "Exchange" not in cells
+        assert rows.count("chunk#") and len(re.findall(r"Exchange hashpartitioning\(year#\d+, station_id#\d+L, chunk#\d+", rows)) == 1

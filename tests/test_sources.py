@@ -148,6 +148,25 @@ def test_links_in_other_quotes_and_comments(spark):
     assert [r.link for r in catalog.extract_links(pages).collect()] == ["a.zip", "b.zip", "e'e.zip"]
 
 
+def test_links_in_odd_tags(spark):
+    html = {
+        1: "<a " + " ".join(f'data-{i}="{i}"' for i in range(100_000)) + ' href="far.zip">x</a><a href="b.zip">',
+        2: "<a " + "x" * 1_000_000 + " href='far.zip'>" + "y" * 1_000_000 + "<a href=b.zip>",
+        3: """<a title="1 > 0" class='>' href="a.zip" href="second.zip">a</a> it's <a name="n">href="no.zip"</a>""",
+        4: '<a title="open href=a.zip>x</a><a href="b.zip"',
+        5: "<a " * 200_000 + 'href="b.zip">' + '"' * 100_001 + "'" * 100_001,
+        6: "<!--" * 50_000 + '<a href="no.zip">',
+        7: "<a href>x</a><a href=>y</a><a href= 'c.zip' >z</a><a\nHREF\t=d.zip?e=f.zip>",
+        8: "",
+    }
+    pages = spark.createDataFrame([*html.items(), (9, None)], "page_id int, html string")
+    got = {}
+    for r in catalog.extract_links(pages).collect():
+        got.setdefault(r.page_id, []).append(r.link)
+    both = ["far.zip", "b.zip"]
+    assert got == {1: both, 2: both, 3: ["a.zip"], 4: ["a.zip", "b.zip"], 5: ["b.zip"], 7: ["c.zip", "d.zip?e=f.zip"]}
+
+
 def test_years_are_replaced_one_by_one(spark, tmp_path):
     path = str(tmp_path / "data")
     table = spark.createDataFrame([(2000, 1), (2001, 2), (2001, 3)], "year int, v int")

@@ -55,6 +55,14 @@ def gap_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def over_two_years(cells: DataFrame) -> DataFrame:
+    """Every other station a year earlier, without one of the variables, so that a year lacks it."""
+    early = F.col("station_id") % 2 == 0
+    shifted = F.when(early, plus_seconds(F.col("time"), -366 * 86400)).otherwise(F.col("time"))
+    rows = cells.filter(~(early & (F.col("variable") == "view"))).withColumn("time", shifted)
+    return rows.withColumn("year", F.year("time"))
+
+
 def file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct 4-hour slots per "file", with the number of source rows as value."""
     time = floor_seconds(F.col("ts").cast("timestamp_ntz"), STEP)

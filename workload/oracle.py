@@ -113,12 +113,20 @@ STN = (VERSIONS, STATIONS, STATIONS_OK)
 # --- profiles --------------------------------------------------------------------------
 
 
-def missing_of(source: str) -> tuple[tuple[str, str], ...]:
+CALENDAR = """SELECT year, unnest(generate_series(make_timestamp(year, 1, 1, 0, 0, 0),
+                make_timestamp(year + 1, 1, 1, 0, 0, 0) - INTERVAL 4 HOUR, INTERVAL 4 HOUR)) AS time"""
+
+
+def missing_of(source: str, calendar: bool = False) -> tuple[tuple[str, str], ...]:
+    """With ``calendar`` a year has all its steps, else those that are reported."""
+    times = f"SELECT DISTINCT year, time FROM {source}"
+    if calendar:
+        times = f"{CALENDAR} FROM (SELECT DISTINCT year FROM {source})"
     return (
         (
             "axes",
-            f"""SELECT year, count(DISTINCT station_id) AS n_stations, count(DISTINCT time) AS n_times
-                FROM {source} GROUP BY year""",
+            f"""SELECT * FROM (SELECT year, count(DISTINCT station_id) AS n_stations FROM {source} GROUP BY year)
+                JOIN (SELECT year, count(*) AS n_times FROM ({times}) GROUP BY year) USING (year)""",
         ),
         (
             "missing",
@@ -357,13 +365,16 @@ DURATIONS = (
 # --- gap filling ------------------------------------------------------------------------------
 
 
-def dense_of(source: str) -> tuple[tuple[str, str], ...]:
-    """Every station and variable of a year at every time of that year."""
+def dense_of(source: str, calendar: bool = False) -> tuple[tuple[str, str], ...]:
+    """Every station and variable of a year at every time of that year, reported or in its calendar."""
+    times = f"SELECT DISTINCT year, time FROM {source}"
+    if calendar:
+        times = f"{CALENDAR} FROM (SELECT DISTINCT year FROM {source})"
     return (
         (
             "axis",
             f"""SELECT year, time, row_number() OVER (PARTITION BY year ORDER BY time) - 1 AS pos,
-                count(*) OVER (PARTITION BY year) AS n_pos FROM (SELECT DISTINCT year, time FROM {source})""",
+                count(*) OVER (PARTITION BY year) AS n_pos FROM ({times})""",
         ),
         (
             "dense",
@@ -456,6 +467,17 @@ FILL_SUMS = ", ".join(
 SUCCESS = "sum(n_interpolated + n_extrapolated) / nullif(sum(missing_before), 0) * 100.0::DOUBLE"
 ALL_FILLS = with_(*OBS, CLEAN_CELLS, *dense_of("clean_cells"), *filled(2), FILL_COUNTS)
 GAP_FILLED = with_(GAP, *dense_of("gap"), *filled(2))
+# The cells over two years; one variable is absent in the earlier one.
+YEARS = (
+    "years_cells",
+    """SELECT CAST(year(t) AS INTEGER) AS year, station_id, t AS time, variable, value
+       FROM (SELECT *, CASE WHEN station_id % 2 = 0 THEN time - INTERVAL 366 DAY ELSE time END AS t FROM cells)
+       WHERE NOT (station_id % 2 = 0 AND variable = 'view')""",
+)
+YEARS_CLEAN = (
+    "years_clean",
+    "SELECT year, station_id, time, variable, CASE WHEN value BETWEEN 1 AND 200 THEN value END AS value FROM years_cells",
+)
 
 
 def banded(value: str, good: str, fair: str) -> str:
@@ -707,6 +729,18 @@ ORACLE: dict[str, str] = {
     "fill_stats": ALL_FILLS
     + f"""SELECT *, {banded("success_pct", "> 50", "> 10")} AS band, rank() OVER (ORDER BY success_pct DESC) AS rank
          FROM (SELECT variable, {FILL_SUMS}, round({SUCCESS}, 6) AS success_pct FROM counts GROUP BY variable)""",
+    "densify_calendar": with_(GAP, *dense_of("gap", calendar=True))
+    + "SELECT year, station_id, time, pos, round(value, 6) AS value FROM dense",
+    "fill_gaps_calendar": with_(GAP, *dense_of("gap", calendar=True), *filled(2))
+    + "SELECT year, station_id, time, value, value_method FROM filled",
+    "profile_missing_calendar": with_(*OBS, *missing_of("cells", calendar=True))
+    + "SELECT * REPLACE (round(missing_pct, 6) AS missing_pct, round(inf_pct, 6) AS inf_pct) FROM missing",
+    "profile_missing_years": with_(*OBS, YEARS, *missing_of("years_cells"))
+    + "SELECT * REPLACE (round(missing_pct, 6) AS missing_pct, round(inf_pct, 6) AS inf_pct) FROM missing",
+    "gapfill_report_years": with_(*OBS, YEARS, YEARS_CLEAN, *dense_of("years_clean"), *filled(2), FILL_COUNTS)
+    + f"""SELECT coalesce(CAST(year AS VARCHAR), 'all') AS year, coalesce(variable, 'all') AS variable,
+         {FILL_SUMS}, CAST(grouping(year, variable) AS BIGINT) AS level, round({SUCCESS}, 6) AS success_pct
+         FROM counts GROUP BY ROLLUP (year, variable)""",
     "gapfill_report": ALL_FILLS
     + f"""SELECT coalesce(CAST(year AS VARCHAR), 'all') AS year, coalesce(variable, 'all') AS variable,
          {FILL_SUMS}, CAST(grouping(year, variable) AS BIGINT) AS level, round({SUCCESS}, 6) AS success_pct

@@ -61,8 +61,11 @@ def limits(spark: SparkSession) -> DataFrame:
 
 
 def wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivoted(obs_values(spark, sf_dir))
+
+
+def pivoted(cells: DataFrame) -> DataFrame:
     """One column per variable and row per station and time."""
-    cells = obs_values(spark, sf_dir)
     return cells.groupBy("year", "station_id", "time").agg(
         *[F.max(F.when(F.col("variable") == v, F.col("value"))).alias(v) for v in A.EVENT_VARIABLES]
     )
@@ -266,7 +269,14 @@ def station_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def densify_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dense = grid.densify_grid(A.gap_obs(spark, sf_dir), ["value"])
+    dense = grid.densify_grid(A.gap_obs(spark, sf_dir), ["value"], step_seconds=A.STEP)
+    return rounded(dense, "value").withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query
+def densify_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid over all steps of the calendar year, reported by anyone or not."""
+    dense = grid.densify_grid(A.gap_obs(spark, sf_dir), ["value"], step_seconds=A.STEP, calendar=True)
     return rounded(dense, "value").withColumn("pos", F.col("pos").cast("bigint"))
 
 
@@ -401,6 +411,17 @@ def profile_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile.profile_missing(obs_values(spark, sf_dir)), "missing_pct", "inf_pct")
 
 
+@query
+def profile_missing_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = obs_values(spark, sf_dir)
+    return rounded(profile.profile_missing(cells, calendar=True, step_seconds=A.STEP), "missing_pct", "inf_pct")
+
+
+@query
+def profile_missing_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(profile.profile_missing(A.over_two_years(obs_values(spark, sf_dir))), "missing_pct", "inf_pct")
+
+
 @query
 def profile_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
@@ -553,7 +574,7 @@ def distribution_by_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gap_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = gapfill.gap_runs(A.gap_obs(spark, sf_dir))
+    runs = gapfill.gap_runs(A.gap_obs(spark, sf_dir), step_seconds=A.STEP)
     return rounded(runs, "left_value", "right_value").withColumns(
         {c: F.col(c).cast("bigint") for c in ("gap_start", "gap_end", "gap_length")}
     )
@@ -561,50 +582,69 @@ def gap_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gapfill.interpolate(A.gap_obs(spark, sf_dir)), "value").drop("pos")
+    return rounded(gapfill.interpolate(A.gap_obs(spark, sf_dir), step_seconds=A.STEP), "value").drop("pos")
 
 
 @query
 def extrapolate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = gapfill.fill_gaps(A.gap_obs(spark, sf_dir))
+    filled = gapfill.fill_gaps(A.gap_obs(spark, sf_dir), step_seconds=A.STEP)
     return rounded(filled.filter(F.col("value_method").startswith("extrapolated")), "value").drop("pos")
 
 
+@query
+def fill_gaps_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filled = gapfill.fill_gaps(A.gap_obs(spark, sf_dir), step_seconds=A.STEP, calendar=True)
+    return rounded(filled, "value").drop("pos")
+
+
 @query
 def fill_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gapfill.fill_gaps(A.gap_obs(spark, sf_dir)), "value").drop("pos")
+    return rounded(gapfill.fill_gaps(A.gap_obs(spark, sf_dir), step_seconds=A.STEP), "value").drop("pos")
 
 
-def gap_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gap_stats(cells: DataFrame) -> DataFrame:
     """Statistics of all event variables, filled together as columns of one wide table.
 
-    The cleaned table is written by year first, as a full run does between its stages.
+    The cleaned table is written by year first, as a full run does between its stages. Years count
+    for the variables they hold.
     """
+    spark = cells.sparkSession
     path = shared_dir(spark, "cleaned")
-    dataset.write_years(scalar.apply_filters(wide_values(spark, sf_dir), A.BOUNDS), path)
+    dataset.write_years(scalar.apply_filters(pivoted(cells), A.BOUNDS), path)
     wide = dataset.read_years(spark, path)
-    return gapfill.fill_stats(gapfill.fill_gaps(wide, A.EVENT_VARIABLES), A.EVENT_VARIABLES)
+    filled = gapfill.fill_gaps(wide, A.EVENT_VARIABLES, step_seconds=A.STEP)
+    return gapfill.fill_stats(filled, A.EVENT_VARIABLES, existing=cells.select("year", "variable").distinct())
+
+
+def report_rows(stats: DataFrame) -> DataFrame:
+    return rounded(gapfill.fill_report(stats), "success_pct").withColumns(
+        {
+            "year": F.coalesce(F.col("year").cast("string"), F.lit("all")),
+            "variable": F.coalesce("variable", F.lit("all")),
+            "level": F.col("level").cast("bigint"),
+        }
+    )
 
 
 @query
 def fill_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gapfill.pooled_fill_stats(gap_stats(spark, sf_dir)), "success_pct").withColumn(
+    return rounded(gapfill.pooled_fill_stats(gap_stats(obs_values(spark, sf_dir))), "success_pct").withColumn(
         "rank", F.col("rank").cast("bigint")
     )
 
 
 @query
 def gapfill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gapfill.fill_report(gap_stats(spark, sf_dir)), "success_pct").withColumns(
-        {
-            "year": F.coalesce(F.col("year").cast("string"), F.lit("all")),
-            "variable": F.coalesce("variable", F.lit("all")),
-            "level": F.col("level").cast("bigint"),
-        }
-    )
+    return report_rows(gap_stats(obs_values(spark, sf_dir)))
+
+
+@query
+def gapfill_report_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over two years, one of which lacks a variable: it has no rows there and counts for no total."""
+    return report_rows(gap_stats(A.over_two_years(obs_values(spark, sf_dir))))
 
 
 @query
 def fill_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    overall = gapfill.overall_fill_stats(gap_stats(spark, sf_dir))
+    overall = gapfill.overall_fill_stats(gap_stats(obs_values(spark, sf_dir)))
     return rounded(overall, "success_pct", "interpolated_pct", "extrapolated_pct")
