@@ -116,7 +116,7 @@ def block_hashes(found: Blocks, seed: int = 0) -> np.ndarray:
         return np.zeros(0, dtype=np.uint64)
     key = mix(np.array([2 * seed + 1], dtype=np.uint64))
     if len(found.value) == len(found.begin):
-        total = mix(found.value + key)
+        total = mix(found.value + mix(key))
     else:
         place = np.arange(len(found.value), dtype=np.uint64) - np.repeat(found.begin, found.count).astype(np.uint64)
         total = np.add.reduceat(mix(found.value + mix(place + key)), found.begin)

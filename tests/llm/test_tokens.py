@@ -183,3 +183,16 @@ def test_vocabulary_without_word_ends():
     plain = Tokenizer.from_file(path)
     got = Encoder(path).encode([t.encode() for t in texts])
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_word_has_one_hash_whatever_lies_beside_it():
+    alone = words.hashes(words.find_words([b"short"]))[0]
+    beside = words.hashes(words.find_words([b"a word of more than eight bytes: extraordinary", b"short"]))
+    assert beside[-1] == alone
+    data = b"".join(bytes([i]) * n + b" " for i in (65, 195) for n in range(1, 40))
+    found = words.find_words([data])
+    spelled = words.blocks(found.data, found.start, found.stop)
+    n = len(found.start)
+    one, other = np.repeat(np.arange(n), n), np.tile(np.arange(n), n)
+    assert (words.same(spelled, one, other) == (one == other)).all()
+    assert len(set(words.hashes(found).tolist())) == n
