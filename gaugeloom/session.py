@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Conditions on the year reach the reader of observation files.
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

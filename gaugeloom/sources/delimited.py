@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.config import FOLD_COLUMNS, SENTINEL
 from gaugeloom.functions.scalar import lenient_double, parse_time, without_sentinel
+from gaugeloom.sources import station_text
 from gaugeloom.sources.catalog import FILE_PATTERN
 
 KEY_COLUMNS = ("STATIONS_ID", "MESS_DATUM")
@@ -26,70 +27,34 @@ def latin1_text(raw: Column) -> Column:
     return F.decode(raw.cast("binary"), "ISO-8859-1")
 
 
-def parse_lines(lines: DataFrame, columns: Sequence[str], line: str = "line", sep: str = ";") -> DataFrame:
-    """Trimmed text columns out of delimited lines.
-
-    Lines with more fields than columns are dropped, short ones are padded with
-    NULL; header lines, wherever they turn up, and blank lines are skipped.
-    """
-    others = [c for c in lines.columns if c != line]
-    parts = F.split(F.col(line), sep, -1)
-    fields = {c: F.nullif(F.trim(F.get("_parts", F.lit(i))), F.lit("")) for i, c in enumerate(columns)}
-    return (
-        lines.withColumn("_parts", parts)
-        .filter((F.size("_parts") <= len(columns)) & (F.trim(F.col(line)) != ""))
-        .filter(F.trim(F.get("_parts", F.lit(0))) != columns[0])
-        .select(*others, *[e.alias(c) for c, e in fields.items()])
-    )
-
-
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines of text files with the path and name of their file; files are split for reading."""
-    return (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_name").alias("file_name"),
-            latin1_text(F.col("value")).alias("line"),
-        )
-    )
-
-
-def header_columns(lines: DataFrame, first: str = KEY_COLUMNS[0]) -> list[str]:
-    """Column names of the one header that all files of a category share."""
-    headers = lines.filter(F.trim(F.col("line")).startswith(first)).select("line").distinct().limit(2).collect()
-    if len(headers) != 1:
-        raise ValueError(f"expected one header line, found {'none' if not headers else 'several'}")
-    return [c.strip() for c in headers[0].line.split(";")]
+def all_columns(spark: SparkSession, path: str | list[str], first: str = KEY_COLUMNS[0]) -> list[str]:
+    """Column names of all files; the layouts of many files are few, and one row per layout reaches the driver."""
+    layouts = station_text.headers(spark, path).select("header").distinct().collect()
+    named = sorted(r.header for r in layouts if r.header[0].upper() == first)
+    if not named:
+        raise ValueError("no file has a header line")
+    names: dict[str, str] = {}
+    for header in named:
+        for c in header:
+            names.setdefault(c.upper(), c)
+    return list(names.values())
 
 
 def scan_delimited(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """Text columns of observation files; column names come from the files unless given."""
-    lines = read_lines(spark, path)
-    return parse_lines(lines.drop("file_path"), columns or header_columns(lines))
+    """Text columns of observation files, each found by its name in the header of its own file.
 
+    Without ``columns`` all columns that any file has are read. A column that a
+    file lacks is NULL in its rows, as are the missing fields of a short line.
+    Lines with more fields than the header of their file are left out; :func:`count_rejects` counts them.
+    """
+    wanted = list(columns or all_columns(spark, path))
+    return station_text.scan(spark, path, wanted).filter(~F.col("rejected")).select("file_name", *wanted)
 
-def parse_by_header(lines: DataFrame, columns: Sequence[str], line: str = "line", sep: str = ";") -> DataFrame:
-    """``columns`` as trimmed text, each found by its name in the header of its own file.
 
-    ``lines`` has a column ``file_path``, which is dropped. A column that a file lacks is NULL
-    in its rows; a file without a header is taken to hold ``columns`` in order. Lines with more
-    fields than the header of their file, header lines and blank lines are dropped.
-    """
-    others = [c for c in lines.columns if c not in (line, "file_path")]
-    is_header = F.trim(F.get(F.split(F.col(line), sep, -1), F.lit(0))) == columns[0]
-    names = F.transform(F.split(F.min(line), sep, -1), lambda x: F.trim(x))
-    headers = lines.filter(is_header).groupBy("file_path").agg(names.alias("_header"))
-    own = F.coalesce("_header", F.array(*[F.lit(c) for c in columns]))
-    fields = {c: F.get("_parts", F.array_position("_header", c).cast("int") - 1) for c in columns}
-    return (
-        lines.filter(~is_header & (F.trim(F.col(line)) != ""))
-        .join(headers, "file_path", "left")
-        .withColumns({"_header": own, "_parts": F.split(F.col(line), sep, -1)})
-        .filter(F.size("_parts") <= F.size("_header"))
-        .select(*others, *[F.nullif(F.trim(e), F.lit("")).alias(c) for c, e in fields.items()])
-    )
+def count_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file_path, n_rows, n_rejected) of every file with rows: lines that are read and lines with too many fields."""
+    rows = station_text.scan(spark, path, list(KEY_COLUMNS))
+    return rows.groupBy("file_path").agg(F.count_if(~F.col("rejected")).alias("n_rows"), F.count_if("rejected").alias("n_rejected"))
 
 
 def typed_observations(text: DataFrame, value_cols: Sequence[str], sentinel: float = SENTINEL) -> DataFrame:
@@ -107,21 +72,26 @@ def typed_observations(text: DataFrame, value_cols: Sequence[str], sentinel: flo
     )
 
 
-def reading_order(fold: str, file_name: Column, row: Column) -> Column:
-    """Rank of a row among rows of the same station and time: category, start date of the file, content."""
+def reading_order(fold: str, file_name: Column, place: Column) -> Column:
+    """Rank of a row among rows of the same station and time: category, start date of the file, place in the file."""
     rank = sorted(FOLD_COLUMNS).index(fold) * 100_000_000
     start = F.coalesce(F.regexp_extract(file_name, FILE_PATTERN, 1).try_cast("bigint"), F.lit(0))
-    return (F.lit(rank) + start) * F.lit(1 << 30) + F.pmod(F.xxhash64(row), F.lit(1 << 30))
+    return (F.lit(rank) + start) * F.lit(1 << 33) + F.least(place, F.lit((1 << 33) - 1))
 
 
-def read_fold(spark: SparkSession, path: str | list[str], fold: str) -> DataFrame:
+def read_fold(spark: SparkSession, path: str | list[str], fold: str, years: Sequence[int] | None = None) -> DataFrame:
     """Typed observations of one measurement category, ready to be merged with others.
 
-    Files may order their columns differently, lack some or hold others.
+    Files may order their columns differently, lack some or hold others. Of
+    several rows for one station and time the one further up in its file ranks first. With
+    ``years`` only rows of these years are read.
     """
     measured = FOLD_COLUMNS[fold]
-    lines = read_lines(spark, path).withColumn("order_key", reading_order(fold, F.col("file_name"), F.col("line")))
-    return typed_observations(parse_by_header(lines, [*KEY_COLUMNS, *measured]), measured).withColumn("fold", F.lit(fold))
+    rows = station_text.scan(spark, path, [*KEY_COLUMNS, *measured]).filter(~F.col("rejected"))
+    if years is not None:
+        rows = rows.filter(F.col("year").isin(*years))
+    ranked = rows.withColumn("order_key", reading_order(fold, F.col("file_name"), F.col("place")))
+    return typed_observations(ranked.drop("file_path", "place", "year", "rejected"), measured).withColumn("fold", F.lit(fold))
 
 
 def station_files(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.config import FOLD_COLUMNS
 from gaugeloom.plans import stages
-from gaugeloom.sources import catalog, dataset, delimited
+from gaugeloom.sources import catalog, dataset, delimited, station_text
 
 HEADERS = {
     "wind": "STATIONS_ID;MESS_DATUM;  QN;FF_10;DD_10;eor",
@@ -65,9 +65,59 @@ def test_scan_decodes_latin1(spark, tmp_path):
     assert delimited.scan_delimited(spark, str(tmp_path)).first().Ort == "Köln"
 
 
-def test_scan_refuses_mixed_headers(spark, raw):
+def test_scan_takes_all_columns_of_mixed_headers(spark, raw):
+    got = delimited.scan_delimited(spark, [f"{raw}/wind/*.txt", f"{raw}/solar/*.txt"])
+    assert set(got.columns) == {"file_name", "STATIONS_ID", "MESS_DATUM", "QN", "FF_10", "DD_10", "eor", "DS_10", "GS_10", "SD_10", "LS_10"}
+    counts = got.agg(F.count("FF_10").alias("wind"), F.count("LS_10").alias("sun"), F.count(F.lit(1)).alias("n")).first()
+    assert (counts.wind, counts.sun, counts.n) == (4 * 288 - 1, 4 * 288, 8 * 288 - 1)
     with pytest.raises(ValueError):
-        delimited.scan_delimited(spark, [f"{raw}/wind/*.txt", f"{raw}/solar/*.txt"])
+        delimited.scan_delimited(spark, f"{raw}/wind/*.pdf")
+
+
+def test_rejects_are_counted(spark, raw):
+    counts = {r.file_path.rsplit("/", 1)[-1]: (r.n_rows, r.n_rejected) for r in delimited.count_rejects(spark, f"{raw}/wind/*.txt").collect()}
+    assert counts.pop("produkt_wind_20000102_20000103_00044.txt") == (287, 1)
+    assert set(counts.values()) == {(288, 0)}
+
+
+@pytest.mark.parametrize("range_bytes", [1, 7, 64, 10_000])
+def test_ranges_hold_every_line_once(spark, tmp_path, range_bytes):
+    header = " stations_id ;MESS_DATUM;Wert"
+    body = [f"{i};20000101{i:04d};{'ä' * (i % 40)}{i}" for i in range(120)]
+    body[7] = ""
+    body[9] += ";zu;lang"
+    (tmp_path / "a.txt").write_bytes("\r\n".join([header, *body[:60], " STATIONS_ID;junk", *body[60:]]).encode("latin-1"))
+    (tmp_path / "b.txt").write_bytes(b"1;200001010000;x\n\n2;200001010010")
+    (tmp_path / "c.txt").write_bytes(b"")
+    rows = station_text.scan(spark, str(tmp_path), ["STATIONS_ID", "MESS_DATUM", "WERT"], range_bytes=range_bytes).collect()
+    own = sorted((r for r in rows if r.file_name == "a.txt"), key=lambda r: r.place)
+    want = [b for i, b in enumerate(body) if i != 7]
+    assert [r.rejected for r in own] == [len(b.split(";")) > 3 for b in want]
+    assert [(r.STATIONS_ID, r.WERT) for r in own if not r.rejected] == [(b.split(";")[0], b.split(";")[2]) for b in want if len(b.split(";")) == 3]
+    raw_bytes = (tmp_path / "a.txt").read_bytes()
+    assert all(raw_bytes[r.place :].decode("latin-1").startswith(b) for r, b in zip(own, want, strict=True))
+    assert sorted((r.STATIONS_ID, r.WERT, r.year) for r in rows if r.file_name == "b.txt") == [("1", "x", 2000), ("2", None, 2000)]
+    assert not any(r.file_name == "c.txt" for r in rows)
+
+
+def test_year_reaches_the_reader(spark, raw):
+    rows = station_text.scan(spark, f"{raw}/wind/*.txt", ["STATIONS_ID", "MESS_DATUM", "FF_10"])
+    for test, want in (("year = 1999", 2 * 144), ("year in (1999, 2001)", 2 * 144), ("year > 1999 and year < 2001", 6 * 144), ("year >= 2001", 0)):
+        assert rows.filter(test).count() == want
+    fold = delimited.read_fold(spark, f"{raw}/wind/*.txt", "wind", years=[1999])
+    assert fold.count() == 2 * 144 and {r.year for r in fold.select("year").distinct().collect()} == {1999}
+    reader = station_text.PushingReader({"path": json.dumps([f"{raw}/wind/*.txt"]), "columns": json.dumps(["STATIONS_ID", "MESS_DATUM"])})
+    condition = station_text.ds.EqualTo(("year",), 1999)
+    assert list(reader.pushFilters([condition])) == [condition]
+    assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == 2 * 144
+
+
+def test_rows_rank_by_their_place_in_the_file(spark, tmp_path):
+    at = "200001010000"
+    (tmp_path / "x_20000101_20000102_00001.txt").write_text(f"{HEADERS['wind']}\n1;{at};3;-999;20;eor\n1;{at};1;5;30;eor\n1;{at};2;6;40;eor\n", "latin-1")
+    merged = stages.merge_stage([delimited.read_fold(spark, str(tmp_path), "wind")], spark.createDataFrame([], "station_id long, latitude double, longitude double, height double, ordinal int"))
+    row = merged.first()
+    assert (row.QN, row.FF_10, row.DD_10) == (3.0, 5.0, 20.0)
 
 
 def test_typed_fold(spark, raw):

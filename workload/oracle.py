@@ -500,6 +500,10 @@ ORACLE: dict[str, str] = {
          CASE WHEN order_key % 89 <> 0 THEN nullif(TRY_CAST(raw AS DOUBLE), -999) END AS value,
          CASE WHEN order_key % 89 <> 0 THEN 'eor' END AS eor
          FROM raw WHERE order_key % 89 = 0 OR order_key % 97 <> 0) WHERE time IS NOT NULL""",
+    "delimited_rejects": with_(RAW)
+    + """SELECT CAST(CASE WHEN regexp_matches(time_text, '^[0-9]{12}$') THEN time_text[1:4] END AS INTEGER) AS year,
+         count(*) FILTER (WHERE order_key % 89 = 0 OR order_key % 97 <> 0) AS n_rows,
+         count(*) FILTER (WHERE order_key % 89 <> 0 AND order_key % 97 = 0) AS n_rejected FROM raw GROUP BY ALL""",
     "interval_catalog": with_(NAMES)
     + r"""SELECT fold, file_name, regexp_extract(file_name, '_(\d+)\.txt$', 1) AS station_id,
          strptime(regexp_extract(file_name, '_(\d{8})_(\d{8})_', 1), '%Y%m%d') AS start_date,

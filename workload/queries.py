@@ -15,7 +15,7 @@ from gaugeloom.functions import scalar
 from gaugeloom.operators import catalog_stats, gapfill, grid, inference, intervals, merge, profile
 from gaugeloom.session import shared_dir, stored
 from gaugeloom.sources import catalog as files
-from gaugeloom.sources import dataset, delimited
+from gaugeloom.sources import dataset, delimited, station_text
 from workload import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,15 +78,28 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources and sinks -----------------------------------------------------------------
 
 
-@query
-def scan_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = [*delimited.KEY_COLUMNS, "QN", "value", "eor"]
+def delimited_files(spark: SparkSession, sf_dir: str, columns: list[str]) -> str:
     path = shared_dir(spark, "delimited")
     A.delimited_lines(spark, sf_dir, columns).write.text(path)
-    text = delimited.scan_delimited(spark, path, columns)
+    return path
+
+
+DELIMITED = [*delimited.KEY_COLUMNS, "QN", "value", "eor"]
+
+
+@query
+def scan_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = delimited.scan_delimited(spark, delimited_files(spark, sf_dir, DELIMITED), DELIMITED)
     return delimited.typed_observations(text, ["QN", "value"]).select("station_id", "time", "year", "QN", "value", "eor")
 
 
+@query
+def delimited_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read and over-long rows left out, by year; a line of a bad time has no year."""
+    rows = station_text.scan(spark, delimited_files(spark, sf_dir, DELIMITED), DELIMITED)
+    return rows.groupBy("year").agg(F.count_if(~F.col("rejected")).alias("n_rows"), F.count_if("rejected").alias("n_rejected"))
+
+
 @query
 def interval_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.interval_catalog(A.file_names(spark, sf_dir))
