@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from gaugeloom.config import BOUNDS, SENTINEL
+from gaugeloom.session import small
 
 Bounds = Mapping[str, tuple[float, float]]
 
@@ -131,7 +132,7 @@ def cleaned_long(
         cleaned = inside(cleaned, F.col("lo"), F.col("hi"))
     else:
         cleaned = F.coalesce(clipped(cleaned, F.col("lo"), F.col("hi")), cleaned)
-    return df.join(F.broadcast(bounds), "variable", "left").withColumn(out, cleaned).drop("lo", "hi")
+    return df.join(small(bounds), "variable", "left").withColumn(out, cleaned).drop("lo", "hi")
 
 
 # --- years ----------------------------------------------------------------------

@@ -22,6 +22,7 @@ from gaugeloom.functions.scalar import band
 from gaugeloom.functions.tails import f_upper_tail, kolmogorov_upper_tail, normal_cdf
 from gaugeloom.operators.chunks import bucket_offsets, exact_medians, ranked_values, value_counts
 from gaugeloom.operators.profile import with_rank
+from gaugeloom.session import stored
 
 GROUP = ("year", "variable")
 SERIES = ("year", "variable", "station_id")
@@ -219,7 +220,7 @@ def ks_normality(obs: DataFrame, min_values: int = MIN_VALUES_DISTRIBUTION, alph
     z = (F.col("value") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
     distance = (
         ecdf(obs)
-        .join(F.broadcast(moments), list(GROUP))
+        .join(stored(moments, "moments"), list(GROUP))
         .withColumn("phi", _finite(normal_cdf(z)))
         .groupBy(*GROUP)
         .agg(F.max(F.greatest(F.col("upto") - F.col("phi"), F.col("phi") - F.col("below"))).alias("ks_d"))

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from gaugeloom.config import CHECK_EXEMPT, DAY_SECONDS, ENOUGH_ROWS_RATIO, MAX_MISSING_PCT, STEP_SECONDS
 from gaugeloom.functions.scalar import band, cleaned_long
-from gaugeloom.functions.times import calendar_steps, chunk_of
+from gaugeloom.functions.times import calendar_steps
+from gaugeloom.operators.segments import merged_series, merged_variables, stretches, summaries, variable_checks
+from gaugeloom.session import small
 
-CHUNK_SECONDS = 32 * DAY_SECONDS
-SERIES = ("year", "variable", "station_id")
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -95,7 +95,7 @@ def _missing_profile(present: DataFrame, axes: DataFrame) -> DataFrame:
 def profile_range(obs: DataFrame, bounds: DataFrame) -> DataFrame:
     """Valid values below, above and within the bounds per year and variable."""
     return (
-        obs.join(F.broadcast(bounds), "variable", "left")
+        obs.join(small(bounds), "variable", "left")
         .groupBy("year", "variable")
         .agg(
             F.max(F.col("lo").isNotNull()).alias("range_defined"),
@@ -112,46 +112,38 @@ def profile_range(obs: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
-def temporal_jumps(obs: DataFrame, limits: DataFrame) -> DataFrame:
+def temporal_jumps(obs: DataFrame, limits: DataFrame, max_lag: int | None = None) -> DataFrame:
     """Changes between consecutive valid values of a station beyond the variable's limit.
 
-    Changes inside a stretch of time come from a window over that stretch,
-    changes across its border from the first and last value of the stretches.
-    A variable without two valid values at any station has no row.
+    With ``max_lag`` only values at most that many seconds apart are compared.
+    A variable without two such values at any station has no row.
     """
-    valid = (
-        obs.filter(F.col("value").isNotNull())
-        .join(F.broadcast(limits), "variable")
-        .select(*SERIES, "time", "value", "threshold", chunk_of(F.col("time"), CHUNK_SECONDS).alias("chunk"))
-    )
-    inside_chunk = Window.partitionBy(*SERIES, "chunk").orderBy("time")
-    within = valid.select(
-        "year", "variable", "threshold", (F.col("value") - F.lag("value").over(inside_chunk)).alias("change")
-    )
-    ends = valid.groupBy(*SERIES, "threshold", "chunk").agg(
-        F.min_by("value", "time").alias("head"), F.max_by("value", "time").alias("tail")
-    )
-    across = ends.select(
-        "year",
-        "variable",
-        "threshold",
-        (F.col("head") - F.lag("tail").over(Window.partitionBy(*SERIES).orderBy("chunk"))).alias("change"),
-    )
-    size = F.abs(F.nanvl("change", F.lit(None).cast("double")))
+    unbounded = limits.select("variable", F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
+    limited = obs.filter(F.col("value").isNotNull()).join(limits.select("variable"), "variable", "left_semi")
+    series = merged_series(summaries(stretches(limited), unbounded, limits, max_lag), max_lag)
     return (
-        within.unionByName(across)
-        .withColumn("size", size)
-        .groupBy("year", "variable", "threshold")
-        .agg(
-            F.count("size").alias("n_steps"),
-            F.count_if(F.col("size") > F.col("threshold")).alias("large_jumps"),
-            F.max("size").alias("max_diff"),
-        )
+        merged_variables(series)
         .filter("n_steps > 0")
-        .withColumn("has_issues", F.col("large_jumps") > 0)
+        .select("year", "variable", "threshold", "n_steps", "large_jumps", "max_diff", (F.col("large_jumps") > 0).alias("has_issues"))
     )
 
 
+def _with_status(checks: DataFrame, variance: DataFrame | None = None) -> DataFrame:
+    """Issue flags and status next to the figures of :func:`variable_checks`."""
+    measured = ~F.col("variable").isin(*CHECK_EXEMPT)
+    flags = {
+        "missing_issue": (F.col("missing_count") > 0) | (F.col("inf_count") > 0),
+        "range_issue": (F.col("below_min") > 0) | (F.col("above_max") > 0),
+        "jump_issue": (F.col("large_jumps") > 0) & measured,
+    }
+    if variance is not None:
+        checks = checks.join(variance.select("year", "variable", F.col("has_issues").alias("_uneven")), ["year", "variable"], "left")
+        flags["variance_issue"] = F.coalesce("_uneven", F.lit(False)) & measured
+    flagged = checks.withColumns(flags).drop("_uneven")
+    any_issue = F.greatest(*[F.col(f).cast("int") for f in flags]) == 1
+    return flagged.withColumn("status", F.when(any_issue, "WARNING").otherwise("OK"))
+
+
 def variable_status(
     obs: DataFrame, bounds: DataFrame, limits: DataFrame, variance: DataFrame | None = None
 ) -> DataFrame:
@@ -160,42 +152,53 @@ def variable_status(
     Row descriptions such as quality flags only take part in the first two
     checks. ``variance`` is the table of :func:`gaugeloom.operators.inference.levene`.
     """
-    counted = (
-        obs.join(F.broadcast(bounds), "variable", "left")
-        .groupBy("year", "variable")
+    flags = ["missing_issue", "range_issue", "jump_issue"] + (["variance_issue"] if variance is not None else [])
+    return _with_status(variable_checks(obs, bounds, limits), variance).select("year", "variable", *flags, "status")
+
+
+def check_report(
+    obs: DataFrame,
+    bounds: DataFrame,
+    limits: DataFrame,
+    variance: DataFrame | None = None,
+    distribution: DataFrame | None = None,
+) -> DataFrame:
+    """All checks of every year and variable, and the totals of every year (``variable`` is NULL, level 1).
+
+    ``variance`` and ``distribution`` are the tables of :func:`gaugeloom.operators.inference.levene`
+    and :func:`gaugeloom.operators.inference.ks_normality`; with them, uneven variances count as
+    an issue, and their p-values are reported. A total has sums of counts, the largest jump, how
+    many variables there are and how many have a warning; its status is WARNING if any has one.
+    """
+    checked = _with_status(variable_checks(obs, bounds, limits), variance)
+    tests = {}
+    for table, p_value in ((variance, "levene_p"), (distribution, "ks_p")):
+        if table is not None:
+            checked = checked.join(table.select("year", "variable", p_value), ["year", "variable"], "left")
+            tests[p_value] = F.when(F.grouping("variable") == 0, F.max(p_value))
+    sums = ("total_values", "missing_count", "inf_count", "n_valid", "below_min", "above_max", "n_steps", "large_jumps")
+    one = F.grouping("variable") == 0
+    extremes = {c: F.when(one, how(c)) for c, how in (("actual_min", F.min), ("actual_max", F.max), ("threshold", F.max))}
+    return (
+        checked.groupingSets([["year", "variable"], ["year"]], "year", "variable")
         .agg(
-            F.count("value").alias("present"),
-            F.count_if(F.abs("value") == float("inf")).alias("infinite"),
-            F.count_if((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))).alias("outside"),
-        )
-        .join(cube_axes(obs), "year")
-        .select(
-            "year",
-            "variable",
-            ((F.col("present") < F.col("n_stations") * F.col("n_times")) | (F.col("infinite") > 0)).alias("missing_issue"),
-            (F.col("outside") > 0).alias("range_issue"),
+            F.grouping("variable").cast("int").alias("level"),
+            F.max("n_stations").alias("n_stations"),
+            F.max("n_times").alias("n_times"),
+            F.count(F.lit(1)).alias("n_variables"),
+            F.count_if(F.col("status") == "WARNING").alias("n_warnings"),
+            *[F.sum(c).alias(c) for c in sums],
+            *[e.alias(c) for c, e in extremes.items()],
+            F.max("max_diff").alias("max_diff"),
+            F.max("missing_issue").alias("missing_issue"),
+            F.max("range_issue").alias("range_issue"),
+            F.max("jump_issue").alias("jump_issue"),
+            *([F.max("variance_issue").alias("variance_issue")] if variance is not None else []),
+            *[e.alias(c) for c, e in tests.items()],
+            F.max("status").alias("status"),
         )
-    )
-    parts = [
-        counted,
-        temporal_jumps(obs, limits).select("year", "variable", F.col("has_issues").alias("jump_issue")),
-    ]
-    if variance is not None:
-        parts.append(variance.select("year", "variable", F.col("has_issues").alias("variance_issue")))
-    first, *others = parts
-    joined = first
-    for part in others:
-        joined = joined.join(part, ["year", "variable"], "left")
-    flags = ["missing_issue", "range_issue", "jump_issue"] + (["variance_issue"] if variance is not None else [])
-    measured = ~F.col("variable").isin(*CHECK_EXEMPT)
-    clean = {
-        f: F.coalesce(F.col(f) & (measured if f in ("jump_issue", "variance_issue") else F.lit(True)), F.lit(False))
-        for f in flags
-    }
-    joined = joined.withColumns(clean)
-    any_issue = F.greatest(*[F.col(f).cast("int") for f in flags]) == 1
-    return joined.withColumn("status", F.when(any_issue, "WARNING").otherwise("OK")).select(
-        "year", "variable", *flags, "status"
+        .withColumn("missing_pct", percent(F.col("missing_count"), F.col("total_values")))
+        .withColumn("in_range_pct", percent(F.col("n_valid") - F.col("below_min") - F.col("above_max"), F.col("n_valid")))
     )
 
 
@@ -217,7 +220,7 @@ def coordinate_checks(obs: DataFrame, stations: DataFrame, bounds: DataFrame) ->
         .distinct()
         .join(stations, "station_id", "left")
         .unpivot(["year", "station_id"], names, "variable", "value")
-        .join(F.broadcast(bounds), "variable", "left")
+        .join(small(bounds), "variable", "left")
     )
     return (
         per_station.groupBy("year", "variable")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,3 +62,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """Marked for broadcast if it has at most ``most`` rows; a larger table is left to the planner.
+
+    For short tables whose size the planner cannot know, such as limits per variable.
+    """
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

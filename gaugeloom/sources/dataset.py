@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,5 +32,26 @@ def read_years(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """A report table (years x variables at most) as one JSON file."""
-    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """A report table (years x variables at most) as one JSON file.
+
+    It is written beside ``path`` and takes its place when it is complete, so a run
+    that fails leaves the report of the run before. If the swap itself fails, the old one is put back.
+    """
+    spark = report.sparkSession
+    jvm, own = spark._jvm, uuid.uuid4().hex
+    place = lambda suffix: jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}{suffix}")
+    target, staged, before = place(""), place(f".staged-{own}"), place(f".before-{own}")
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        report.coalesce(1).write.option("ignoreNullFields", "false").json(staged.toString())
+        had_one = store.exists(target)
+        if had_one and not store.rename(target, before):
+            raise OSError(f"cannot replace {path}")
+        if not store.rename(staged, target):
+            if had_one:
+                store.rename(before, target)
+            raise OSError(f"cannot write {path}")
+        if had_one:
+            store.delete(before, True)
+    finally:
+        store.delete(staged, True)

@@ -4,7 +4,7 @@ import re
 
 from gaugeloom.operators import gapfill, grid, inference, profile
 from workload import adapters as A
-from workload.queries import QUERIES, limits, obs_values
+from workload.queries import QUERIES, bounds, limits, obs_values
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,10 +22,12 @@ def test_gap_filling_shuffles_cells_once(spark):
     assert plan.count("Sort [year") == 1
 
 
-def test_windows_over_observations_are_chunked(spark):
-    plan = physical(profile.temporal_jumps(obs_values(spark, SF_DIR), limits(spark)))
-    over_rows = [w for w in plan.splitlines() if "Window [" in w and "lag(value" in w]
-    assert over_rows and all("chunk#" in w for w in over_rows)
+def test_checks_read_and_shuffle_observations_once(spark):
+    df = profile.variable_status(obs_values(spark, SF_DIR), bounds(spark), limits(spark))
+    df.collect()
+    final = physical(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "Window" not in final and "Expand" not in final
+    assert "ReusedExchange" in final
 
 
 def test_value_counts_are_shared(spark):

@@ -156,7 +156,14 @@ def range_of(source: str) -> tuple[tuple[str, str], ...]:
     )
 
 
-def jumps_of(source: str) -> tuple[tuple[str, str], ...]:
+def jumps_of(source: str, max_lag: str = "INTERVAL 1000 YEAR") -> tuple[tuple[str, str], ...]:
+    """The value before stands in the frame of ``max_lag``, and is the last one in it."""
+    frame = "PARTITION BY year, variable, station_id ORDER BY time"
+    if max_lag.endswith("DAY"):
+        frame += f" RANGE BETWEEN {max_lag} PRECEDING AND INTERVAL 1 SECOND PRECEDING"
+        before = f"last_value(value) OVER ({frame})"
+    else:
+        before = f"lag(value) OVER ({frame})"
     return (
         (
             "jumps",
@@ -164,8 +171,7 @@ def jumps_of(source: str) -> tuple[tuple[str, str], ...]:
                 count(*) FILTER (WHERE d > 100) AS large_jumps, max(d) AS max_diff,
                 count(*) FILTER (WHERE d > 100) > 0 AS has_issues
                 FROM (SELECT year, variable, CASE WHEN NOT isnan(d) THEN d END AS d FROM
-                      (SELECT year, variable, abs(value - lag(value) OVER
-                         (PARTITION BY year, variable, station_id ORDER BY time)) AS d
+                      (SELECT year, variable, abs(value - {before}) AS d
                        FROM {source} WHERE value IS NOT NULL))
                 GROUP BY year, variable HAVING count(d) > 0""",
         ),
@@ -474,6 +480,8 @@ YEARS = (
        FROM (SELECT *, CASE WHEN station_id % 2 = 0 THEN time - INTERVAL 366 DAY ELSE time END AS t FROM cells)
        WHERE NOT (station_id % 2 = 0 AND variable = 'view')""",
 )
+YEARS_FINITE = ("years_finite", YEARS[1].replace("FROM cells", "FROM finite"))
+FINITE = "round(CASE WHEN isfinite({0}) THEN {0} END, 6)"
 YEARS_CLEAN = (
     "years_clean",
     "SELECT year, station_id, time, variable, CASE WHEN value BETWEEN 1 AND 200 THEN value END AS value FROM years_cells",
@@ -624,6 +632,32 @@ ORACLE: dict[str, str] = {
          round(actual_max, 6) AS actual_max) FROM ranges""",
     "temporal_jumps": with_(*OBS_FINITE, *jumps_of("finite"))
     + "SELECT * REPLACE (round(max_diff, 6) AS max_diff) FROM jumps",
+    "temporal_jumps_lag": with_(*OBS_FINITE, *jumps_of("finite", "INTERVAL 1 DAY"))
+    + "SELECT * REPLACE (round(max_diff, 6) AS max_diff) FROM jumps",
+    "temporal_jumps_years": with_(*OBS_FINITE, YEARS_FINITE, *jumps_of("years_finite"))
+    + "SELECT * REPLACE (round(max_diff, 6) AS max_diff) FROM jumps",
+    "check_report": with_(*OBS, YEARS, *missing_of("years_cells"), *range_of("years_cells"), *jumps_of("years_cells"), STATUS)
+    + f"""SELECT year, CASE WHEN level = 0 THEN variable ELSE 'all' END AS variable, level, n_stations, n_times, n_variables, n_warnings,
+         total_values, missing_count, inf_count, n_valid, below_min, above_max, n_steps, large_jumps,
+         {FINITE.format("actual_min")} AS actual_min, {FINITE.format("actual_max")} AS actual_max, threshold,
+         {FINITE.format("max_diff")} AS max_diff, missing_issue, range_issue, jump_issue, status,
+         round(missing_count / total_values * 100.0::DOUBLE, 6) AS missing_pct,
+         round(CASE WHEN n_valid > 0 THEN (n_valid - below_min - above_max) / n_valid * 100.0::DOUBLE ELSE 0 END, 6) AS in_range_pct
+         FROM (SELECT s.year, s.variable, CAST(grouping(s.variable) AS BIGINT) AS level,
+               any_value(a.n_stations) AS n_stations, any_value(a.n_times) AS n_times, count(*) AS n_variables,
+               count(*) FILTER (WHERE status = 'WARNING') AS n_warnings,
+               CAST(sum(total_values) AS BIGINT) AS total_values, CAST(sum(missing_count) AS BIGINT) AS missing_count,
+               CAST(sum(inf_count) AS BIGINT) AS inf_count, CAST(sum(n_valid) AS BIGINT) AS n_valid,
+               CAST(sum(below_min) AS BIGINT) AS below_min, CAST(sum(above_max) AS BIGINT) AS above_max,
+               CAST(sum(coalesce(n_steps, 0)) AS BIGINT) AS n_steps, CAST(sum(coalesce(large_jumps, 0)) AS BIGINT) AS large_jumps,
+               CASE WHEN grouping(s.variable) = 0 THEN min(actual_min) END AS actual_min,
+               CASE WHEN grouping(s.variable) = 0 THEN max(actual_max) END AS actual_max,
+               CASE WHEN grouping(s.variable) = 0 THEN 100.0::DOUBLE END AS threshold, max(max_diff) AS max_diff,
+               bool_or(missing_issue) AS missing_issue, bool_or(range_issue) AS range_issue, bool_or(jump_issue) AS jump_issue,
+               max(status) AS status
+               FROM status s JOIN missing m USING (year, variable) JOIN ranges r USING (year, variable)
+               LEFT JOIN jumps j USING (year, variable) JOIN axes a ON a.year = s.year
+               GROUP BY GROUPING SETS ((s.year, s.variable), (s.year)))""",
     "variable_status": with_(*OBS, *missing_of("cells"), *range_of("cells"), *jumps_of("cells"), STATUS)
     + "SELECT * FROM status",
     "variable_status_full": with_(

@@ -447,6 +447,32 @@ def temporal_jumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile.temporal_jumps(finite_values(spark, sf_dir), limits(spark)), "max_diff")
 
 
+@query
+def temporal_jumps_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only values at most a day apart are compared."""
+    found = profile.temporal_jumps(finite_values(spark, sf_dir), limits(spark), max_lag=86400)
+    return rounded(found, "max_diff")
+
+
+@query
+def temporal_jumps_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(profile.temporal_jumps(A.over_two_years(finite_values(spark, sf_dir)), limits(spark)), "max_diff")
+
+
+@query
+def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as a report file and read back; over two years, one of which lacks a variable."""
+    cells = A.over_two_years(obs_values(spark, sf_dir))
+    report = profile.check_report(cells, bounds(spark), limits(spark))
+    numbers = ("actual_min", "actual_max", "max_diff", "missing_pct", "in_range_pct")
+    path = shared_dir(spark, "check_report")
+    text = report.withColumns({c: F.col(c).cast("string") for c in ("actual_min", "actual_max", "max_diff")})
+    dataset.write_report(text, path)
+    back = spark.read.schema(text.schema).json(path).withColumn("variable", F.coalesce("variable", F.lit("all")))
+    finite = lambda c: F.when(F.abs(c.cast("double")) < float("inf"), c.cast("double"))
+    return rounded(back.withColumns({c: finite(F.col(c)) for c in numbers}), *numbers).withColumn("level", F.col("level").cast("bigint"))
+
+
 @query
 def variable_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.variable_status(obs_values(spark, sf_dir), bounds(spark), limits(spark))
