@@ -1,7 +1,7 @@
 """Phrase collocations by sampling with a negative border (Toivonen).
 
 A sample proposes words and pairs of words that may be frequent. The full pass
-counts, exactly and over all texts, every phrase that is proposed and the
+counts over all texts every phrase that is proposed and the
 negative border: every phrase that is not proposed though all its parts are. (All
 words belong to one or the other, then all pairs of proposed words, then all
 triples of proposed pairs.) If a phrase of the border turns out frequent, longer
@@ -9,10 +9,15 @@ phrases that hold it have been left out: it is added to the proposal, and anothe
 full pass counts what this lets in, and nothing that was counted before. Phrases
 have three words at most, so the border is closed after three passes or fewer.
 
+These passes count by a 64-bit hash of language and words. Tasks send sorted hashes with
+their counts, many in a row, and each range of hashes is added up on its own; two phrases
+that share a hash can only be counted too high. When the border is closed, a last pass
+counts the phrases that may be frequent by their words, so every count is exact.
+
 Proposals travel as bitmaps of hashes whose size is fixed, whatever the sample
 and the corpus hold. A phrase that is taken for proposed because of a shared bit is
 counted as well; whether a phrase is counted in a pass depends on the phrase
-alone, so a count is whole or absent. Counts themselves go by the words, not by hashes.
+alone, so a count is whole or absent.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -39,8 +44,9 @@ SEED = 12
 LOWERED, LEAST_SEEN = 0.5, 2
 #: Bits of a bitmap as a power of two; 2**25 bits are 4 MB.
 BITS = 25
-#: Text counted at once.
-PIECE_BYTES = 6_000_000
+#: Text counted at once, and text whose hashes are added up at once.
+PIECE_BYTES = 4_000_000
+RANGE_BYTES = 16_000_000
 #: Parts the rows of one very common word are dealt into where phrases meet the counts of their words.
 SALT = 16
 #: Language of a text without one.
@@ -57,23 +63,32 @@ _SECOND = np.uint64(0x9FB21C651E98DF25)
 
 
 class Proposal(NamedTuple):
-    """Bitmaps of the proposed words and pairs."""
+    """Bitmaps of words, pairs and triples, by the high bits of their hashes."""
 
     words: bytes
     pairs: bytes
+    triples: bytes
+
+    def joined(self, other: Proposal) -> Proposal:
+        return Proposal(*[(np.frombuffer(a, np.uint8) | np.frombuffer(b, np.uint8)).tobytes() for a, b in zip(self, other, strict=True)])
 
 
 def _set(bitmap: bytes, h: np.ndarray) -> np.ndarray:
     """Whether the bit of each hash is set."""
-    size = np.uint64(len(bitmap) * 8 - 1)
-    at = h & size
-    return (np.frombuffer(bitmap, dtype=np.uint8)[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    bits = (len(bitmap) * 8).bit_length() - 1
+    at = (h >> np.uint64(64 - bits)).astype(np.int64)
+    return (np.frombuffer(bitmap, dtype=np.uint8)[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _pair_hash(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+def _next_hash(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Hash of a phrase from that of all words but the last and that of the last."""
     return wd.mix(one * _SECOND + wd.mix(two))
 
 
+def _language_key(lang: str) -> np.uint64:
+    return wd.hashes(wd.find_words([lang.encode()], np.zeros(256, dtype=bool)), 3)[0] if lang else np.uint64(0)
+
+
 def _slices(text: bytes, size: int) -> Iterator[tuple[bytes, int]]:
     """A long text in parts, and how many words at the beginning of a part only lead into it.
 
@@ -101,166 +116,200 @@ def _slices(text: bytes, size: int) -> Iterator[tuple[bytes, int]]:
     yield text[at:], lead
 
 
-COUNTS = "lang string, size int, phrase string, h long, proposed boolean, f long"
-
-
-class _Counts:
-    """The phrases of one buffer of text, all of one language."""
+class _Words:
+    """The words of one buffer of text, all of one language: hashes of the distinct ones, and their order."""
 
-    def __init__(self, now: Proposal | None, before: Proposal | None):
-        self.now, self.before = now, before
-
-    def rows(self, text: bytes, lead: int) -> Iterator[tuple[int, list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
-        """(words in a phrase, phrases, hashes, proposed, counts); size 0 is the number of all words."""
-        found = wd.find_words([text.translate(_FOLD)], _PARTS)
-        n = len(found.start)
-        if not n:
-            return
+    def __init__(self, text: bytes, lead: int, lang: str, exact: bool = False):
+        self.found = found = wd.find_words([text.translate(_FOLD)], _PARTS)
+        self.lead, self.n = lead, len(found.start)
         spelled = wd.blocks(found.data, found.start, found.stop)
         hashed = wd.block_hashes(spelled)
         h, where, which = np.unique(hashed, return_index=True, return_inverse=True)
-        odd = np.flatnonzero(~wd.same(spelled, np.arange(n), where[which]))
-        if len(odd):  # words that share a hash are told apart by their bytes
-            spell = [bytes(found.data[found.start[o] : found.stop[o]]) for o in odd.tolist()]
-            first = {word: o for word, o in zip(reversed(spell), reversed(odd.tolist()), strict=True)}
-            number = {word: len(where) + i for i, word in enumerate(first)}
-            which[odd] = [number[word] for word in spell]
-            extra = np.array(list(first.values()))
-            where, h = np.concatenate([where, extra]), np.concatenate([h, hashed[extra]])
-        data = found.data.tobytes()
-        words = [data[a:b] for a, b in zip(found.start[where].tolist(), found.stop[where].tolist(), strict=True)]
-        ends = np.concatenate([[0], np.cumsum(_CUTS[found.data])])
-        joined = ends[found.stop[:-1]] == ends[found.start[1:]]  # words i and i + 1 lie in one piece
-
-        if self.before is None:
-            count = np.bincount(which[lead:], minlength=len(words))
-            yield 0, [b""], np.zeros(1, np.uint64), np.ones(1, bool), np.array([n - lead])
+        if exact:
+            odd = np.flatnonzero(~wd.same(spelled, np.arange(self.n), where[which]))
+            if len(odd):  # words that share a hash are told apart by their bytes
+                spell = [bytes(found.data[found.start[o] : found.stop[o]]) for o in odd.tolist()]
+                first = {word: o for word, o in zip(reversed(spell), reversed(odd.tolist()), strict=True)}
+                number = {word: len(where) + i for i, word in enumerate(first)}
+                which[odd] = [number[word] for word in spell]
+                extra = np.array(list(first.values()))
+                where, h = np.concatenate([where, extra]), np.concatenate([h, hashed[extra]])
+        self.where, self.which, self.h = where, which, wd.mix(h ^ _language_key(lang))
+        ends = np.concatenate([[0], np.cumsum(_CUTS[found.data], dtype=np.int32)])
+        self.joined = ends[found.stop[:-1]] == ends[found.start[1:]]  # words i and i + 1 lie in one piece
+
+    def phrases(self, now: Proposal | None, before: Proposal | None) -> Iterator[tuple[int, tuple[np.ndarray, ...], np.ndarray, np.ndarray]]:
+        """(words in a phrase, numbers of its words, hashes, counts) of what ``now`` lets in and ``before`` did not.
+
+        All words, pairs of words in ``now``, triples of pairs in ``now``; without it all words and pairs.
+        """
+        h, lead = self.h, self.lead
+        if before is None:
+            count = np.bincount(self.which[lead:], minlength=len(h))
             some = np.flatnonzero(count)
-            yield 1, [words[i] for i in some.tolist()], h[some], self._proposed(self.now and self.now.words, h[some]), count[some]
+            yield 1, (some,), h[some], count[some]
 
-        # Pairs of proposed words; those that were in the proposal before need no new count.
-        whole = np.flatnonzero(joined)
-        one, two = which[whole], which[whole + 1]
-        if self.now:
-            good = _set(self.now.words, h)
+        whole = np.flatnonzero(self.joined)
+        one, two = self.which[whole], self.which[whole + 1]
+        if now:
+            good = _set(now.words, h)
             keep = good[one] & good[two]
             whole, one, two = whole[keep], one[keep], two[keep]
-        key, first, pair = np.unique(one.astype(np.uint64) << np.uint64(32) | two.astype(np.uint64), return_index=True, return_inverse=True)
+        _, first, pair = np.unique(one.astype(np.uint64) << np.uint64(32) | two.astype(np.uint64), return_index=True, return_inverse=True)
         one, two = one[first], two[first]
-        pair_h = _pair_hash(h[one], h[two])
-        count = np.bincount(pair[whole + 1 >= lead], minlength=len(key))
+        pair_h = _next_hash(h[one], h[two])
+        count = np.bincount(pair[whole + 1 >= lead], minlength=len(one))
         new = count > 0
-        if self.before:
-            old = _set(self.before.words, h)
-            new &= ~(old[one] & old[two])
+        if before:
+            old = _set(before.words, h)
+            old = old[one] & old[two]
+            new &= ~old
         some = np.flatnonzero(new)
-        yield 2, [words[a] + b" " + words[b] for a, b in zip(one[some].tolist(), two[some].tolist(), strict=True)], pair_h[some], self._proposed(self.now and self.now.pairs, pair_h[some]), count[some]
+        yield 2, (one[some], two[some]), pair_h[some], count[some]
 
-        if self.now is None:
+        if now is None:
             return
-        # Triples whose two pairs are proposed.
         near = np.flatnonzero(np.diff(whole) == 1)
         near = near[whole[near] + 2 >= lead]
         left, right = pair[near], pair[near + 1]
-        good = _set(self.now.pairs, pair_h)
+        good = _set(now.pairs, pair_h)
         keep = good[left] & good[right]
-        left, right = left[keep], right[keep]
-        if self.before:
-            held = _set(self.before.words, h)
-            old = held[one] & held[two] & _set(self.before.pairs, pair_h)
-            keep = ~(old[left] & old[right])
-            left, right = left[keep], right[keep]
-        key, count = np.unique(left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64), return_counts=True)
+        if before:
+            old &= _set(before.pairs, pair_h)
+            keep &= ~(old[left] & old[right])
+        key, count = np.unique(left[keep].astype(np.uint64) << np.uint64(32) | right[keep].astype(np.uint64), return_counts=True)
         left, right = (key >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        yield 3, [b" ".join((words[a], words[b], words[c])) for a, b, c in zip(one[left].tolist(), two[left].tolist(), two[right].tolist(), strict=True)], pair_h[left], np.ones(len(key), bool), count
+        yield 3, (one[left], two[left], two[right]), _next_hash(pair_h[left], h[two[right]]), count
+
+    def spelled(self, numbers: tuple[np.ndarray, ...]) -> list[bytes]:
+        data, start, stop = self.found.data.tobytes(), self.found.start[self.where], self.found.stop[self.where]
+        parts = [[data[a:b] for a, b in zip(start[k].tolist(), stop[k].tolist(), strict=True)] for k in numbers]
+        return parts[0] if len(parts) == 1 else list(map(b" ".join, zip(*parts, strict=True)))
+
+
+def _buffers(batches: Iterator[pa.RecordBatch], piece_bytes: int) -> Iterator[tuple[str, bytes, int]]:
+    """(language, text, words that only lead into it): texts of a language together, long ones in parts."""
+    held: dict[str, list[bytes]] = {}
+    size: dict[str, int] = {}
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            for part, lead in _slices(text, piece_bytes) if len(text) > piece_bytes else [(text, 0)]:
+                if lead:
+                    yield lang, part, lead
+                    continue
+                held.setdefault(lang, []).append(part)
+                size[lang] = size.get(lang, 0) + len(part) + 1
+                if sum(size.values()) > piece_bytes:
+                    largest = max(size, key=size.__getitem__)
+                    size.pop(largest)
+                    yield largest, b"\n".join(held.pop(largest)), 0
+    for lang, texts in held.items():
+        yield lang, b"\n".join(texts), 0
+
+
+PACKED = "size int, range long, hashes binary, counts binary"
+
+
+def _send(now: Proposal | None, before: Proposal | None, ranges: int, least: int, piece_bytes: int):
+    """Hashes with their counts, in rows by range; a count beyond ``least`` says no more than ``least`` does."""
+    shift = np.uint64(64 - (ranges.bit_length() - 1)) if ranges > 1 else None
+    kind = np.dtype(np.uint8 if least < 256 else np.uint32)
 
-    @staticmethod
-    def _proposed(bitmap: bytes | None, h: np.ndarray) -> np.ndarray:
-        return _set(bitmap, h) if bitmap is not None else np.zeros(len(h), dtype=bool)
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, text, lead in _buffers(batches, piece_bytes):
+            rows = []
+            for size, _, h, count in _Words(text, lead, lang).phrases(now, before):
+                order = np.argsort(h)
+                h, count = h[order], np.minimum(count[order], least).astype(kind)
+                edges = [0, len(h)]
+                own = np.zeros(1, dtype=np.int64)
+                if shift is not None and len(h):
+                    at = (h >> shift).astype(np.int64)
+                    edges = np.r_[0, np.flatnonzero(np.diff(at)) + 1, len(h)].tolist()
+                    own = at[edges[:-1]]
+                rows += [(size, int(k), h[a:b].tobytes(), count[a:b].tobytes()) for k, a, b in zip(own.tolist(), edges[:-1], edges[1:], strict=True) if b > a]
+            if rows:
+                kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["size", "range", "hashes", "counts"])
 
+    return each
 
-def _count(now: Proposal | None, before: Proposal | None, piece_bytes: int):
-    kind = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("h", pa.int64()), ("proposed", pa.bool_()), ("f", pa.int64())])
-    counts = _Counts(now, before)
 
-    def rows(lang: str, text: bytes, lead: int) -> Iterator[pa.RecordBatch]:
-        for size, phrases, h, proposed, f in counts.rows(text, lead):
-            for at in range(0, len(phrases), 200_000):
-                some = slice(at, at + 200_000)
-                n = len(phrases[some])
-                columns = [pa.array([lang] * n), pa.array([size] * n, pa.int32()), pa.array(phrases[some], pa.binary()).cast(pa.string()), pa.array(h[some].view(np.int64)), pa.array(proposed[some]), pa.array(f[some], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, schema=kind)
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[bytes]] = {}
-        size: dict[str, int] = {}
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                parts = list(_slices(text, piece_bytes)) if len(text) > piece_bytes else [(text, 0)]
-                for part, lead in parts:
-                    if lead:
-                        yield from rows(lang, part, lead)
-                        continue
-                    held.setdefault(lang, []).append(part)
-                    size[lang] = size.get(lang, 0) + len(part) + 1
-                    if sum(size.values()) > piece_bytes:
-                        largest = max(size, key=size.__getitem__)
-                        size.pop(largest)
-                        yield from rows(largest, b"\n".join(held.pop(largest)), 0)
-        for lang, texts in held.items():
-            yield from rows(lang, b"\n".join(texts), 0)
+def _add_up(now: Proposal | None, ranges: int, bits: int, least: int):
+    """The bits of a range's hashes that may belong to a frequent phrase, and how many of them ``now`` lacks."""
+    kind = np.dtype(np.uint8 if least < 256 else np.uint32)
+
+    def each(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        size, number = key[0].as_py(), key[1].as_py()
+        h = np.concatenate([np.frombuffer(r, np.uint64) for r in rows.column("hashes").to_pylist()])
+        count = np.concatenate([np.frombuffer(r, kind) for r in rows.column("counts").to_pylist()]).astype(np.int64)
+        order = np.argsort(h)
+        h, count = h[order], count[order]
+        begin = np.r_[0, np.flatnonzero(np.diff(h)) + 1]
+        h = h[begin][np.add.reduceat(count, begin) >= least]
+        own = (1 << bits) // ranges
+        bitmap = np.zeros(own, dtype=bool)
+        bitmap[(h >> np.uint64(64 - bits)).astype(np.int64) - number * own] = True
+        missed = int((~_set(now[size - 1], h)).sum()) if now else 0
+        return pa.table({"size": pa.array([size], pa.int32()), "range": [number], "part": [np.packbits(bitmap, bitorder="little").tobytes()], "missed": [missed]})
 
     return each
 
 
-def _counted(docs: DataFrame, now: Proposal | None, before: Proposal | None, piece_bytes: int) -> DataFrame:
-    """One row per language and phrase; (lang, 0) has the number of all words."""
-    rows = docs.mapInArrow(_count(now, before, piece_bytes), COUNTS)
-    return rows.groupBy("lang", "size", "phrase").agg(F.first("h").alias("h"), F.first("proposed").alias("proposed"), F.sum("f").alias("f"))
+def _pass(docs: DataFrame, now: Proposal | None, before: Proposal | None, least: int, ranges: int, bits: int, piece_bytes: int) -> tuple[Proposal, bool]:
+    """What may be frequent of the phrases counted, and whether all its words and pairs were proposed. Only bitmaps reach the driver."""
+    sent = docs.mapInArrow(_send(now, before, ranges, least, piece_bytes), PACKED)
+    found = sent.groupBy("size", "range").applyInArrow(_add_up(now, ranges, bits, least), "size int, range long, part binary, missed long").collect()
+    whole = [np.zeros((1 << bits) // 8, dtype=np.uint8) for _ in range(3)]
+    for r in found:
+        part = np.frombuffer(bytes(r.part), np.uint8)
+        whole[r["size"] - 1][r["range"] * len(part) : (r["range"] + 1) * len(part)] = part
+    return Proposal(*[w.tobytes() for w in whole]), not any(r.missed for r in found if r["size"] < 3)
 
 
-def _bitmap(phrases: DataFrame, size: int, bits: int) -> bytes:
-    """The hashes of the phrases of ``size`` words as a bitmap; at most 2**bits / 8 bytes reach the driver."""
-    place = F.col("h").bitwiseAND((1 << bits) - 1)
-    parts = (
-        phrases.where(F.col("size") == size)
-        .groupBy(F.shiftright(place, 15).alias("bucket"))
-        .agg(F.expr(f"bitmap_construct_agg(h & {min((1 << bits) - 1, (1 << 15) - 1)})").alias("part"))
-        .collect()
-    )
-    whole = np.zeros((1 << bits) // 8, dtype=np.uint8)
-    for r in parts:
-        part = np.frombuffer(bytes(r.part), dtype=np.uint8)
-        room = whole[r.bucket << 12 : (r.bucket + 1) << 12]
-        room |= part[: len(room)]
-    return whole.tobytes()
+COUNTS = "lang string, size int, phrase string, f long"
+
+
+def _spell(seen: Proposal, piece_bytes: int):
+    """Counts by words of the phrases whose hash may be frequent; size 0 is the number of all words."""
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
+
+    def rows(lang: str, size: int, phrases: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
+        n = len(phrases)
+        columns = [pa.array([lang] * n, kinds[0]), pa.array([size] * n, kinds[1]), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, kinds[3])]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "f"])
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, text, lead in _buffers(batches, piece_bytes):
+            words = _Words(text, lead, lang, exact=True)
+            yield rows(lang, 0, [b""], np.array([words.n - lead]))
+            for size, numbers, h, count in words.phrases(seen, None):
+                some = np.flatnonzero(_set(seen[size - 1], h))
+                if len(some):
+                    yield rows(lang, size, words.spelled(tuple(k[some] for k in numbers)), count[some])
 
-def _joined(one: bytes, two: bytes) -> bytes:
-    return (np.frombuffer(one, np.uint8) | np.frombuffer(two, np.uint8)).tobytes()
+    return each
 
 
-def frequent(docs: DataFrame, least: int = LEAST, sample_bytes: int = SAMPLE_BYTES, bits: int = BITS, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+def frequent(
+    docs: DataFrame, least: int = LEAST, sample_bytes: int = SAMPLE_BYTES, bits: int = BITS, piece_bytes: int = PIECE_BYTES, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
     """(lang, size, phrase, f) of every phrase of one to three words with f >= ``least``; (lang, 0, '') holds the number of words."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     share = min(1.0, sample_bytes / max(size, 1))
-    sample = docs if share == 1 else docs.sample(share, seed=SEED)
+    ranges = min(1 << max(partitions(docs.sparkSession) - 1, -(-size // range_bytes) - 1).bit_length(), 1 << max(bits - 3, 0))
     lowered = max(LEAST_SEEN, int(LOWERED * least * share)) if least > 1 else 1
-    seen = stored(_counted(sample, None, None, piece_bytes).where((F.col("f") >= lowered) & F.col("size").isin(1, 2)).select("size", "h"), "sample")
-    now, before, parts = Proposal(_bitmap(seen, 1, bits), _bitmap(seen, 2, bits)), None, []
+    sample = docs if share == 1 else docs.sample(share, seed=SEED)
+    now, _ = _pass(sample, None, None, lowered, ranges, bits, piece_bytes)
+    before, seen = None, Proposal(*[bytes(len(b)) for b in now])
     while True:
-        part = stored(_counted(docs, now, before, piece_bytes).where((F.col("f") >= least) | (F.col("size") == 0)), "counted")
-        parts.append(part.select("lang", "size", "phrase", "f"))
-        missed = part.where(~F.col("proposed") & F.col("size").isin(1, 2))
-        failures = {r["size"] for r in missed.groupBy("size").count().collect()}
-        if not failures:
+        more, closed = _pass(docs, now, before, least, ranges, bits, piece_bytes)
+        seen = seen.joined(more)
+        if closed:
             break
-        more = [_bitmap(missed, s, bits) if s in failures else bytes((1 << bits) // 8) for s in (1, 2)]
-        before, now = now, Proposal(_joined(now.words, more[0]), _joined(now.pairs, more[1]))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        before, now = now, now.joined(more)
+    counted = docs.mapInArrow(_spell(seen, piece_bytes), COUNTS).groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
+    return stored(counted.where((F.col("f") >= least) | (F.col("size") == 0)), "frequent")
 
 
 def _cut(k: int) -> tuple[Column, Column]:

@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gaugeloom.llm.common import partitions, stored, text_or_empty
+from gaugeloom.llm.common import stored, text_or_empty
 
 #: Bytes of distinct item terms up to which the index is limited to them while texts are read; beyond, it holds all terms.
 VOCABULARY_BYTES = 8_000_000
 #: Postings of a shard and terms of a block of items, about.
-SHARD = 1_500_000
+SHARD = 400_000
 BLOCK = 2_000_000
 #: Positions read from each list in a first round; rounds double them.
 STEP = 32
@@ -218,8 +218,6 @@ def ranked(docs: DataFrame, items: DataFrame, k: int, shard: int = SHARD, block:
     ``items`` with the same item_id and text are one item; other texts under the same item_id, or under a null one,
     are items of their own with their own ranks. Empty tables give an empty result.
     """
-    spark = docs.sparkSession
-    n = partitions(spark)
     wanted = stored(_termed(items, "item_id").dropDuplicates(["id", "text_key"]).select("id", "text_key", F.explode("terms").alias("term")), "item_terms")
     index = stored(_termed(docs, "doc_id", _asked_for(wanted.select("term").distinct())), "index")
     counted = index.where("n > 0")
@@ -230,7 +228,7 @@ def ranked(docs: DataFrame, items: DataFrame, k: int, shard: int = SHARD, block:
     asked = weighed.groupBy("id", "text_key").agg(F.collect_list(F.struct("term", "weight")).alias("t"))
     asked = stored(asked.select("id", "text_key", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights")), "items")
     sought = asked.agg(F.sum(F.size("terms"))).first()[0] or 0
-    shards, blocks = max(n, -(-(postings or 0) // shard)), max(1, -(-sought // block))
+    shards, blocks = max(1, -(-(postings or 0) // shard)), max(1, -(-sought // block))
 
     every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(c - 1).cast("long")))
     # 50 * n * N may pass 64 bits where its quotient does not.

@@ -76,8 +76,8 @@ def test_border_failures_are_made_good(spark, monkeypatch, sample_bytes):
     """With next to nothing in the sample, phrases of the border are frequent and further passes follow."""
     rows = corpus(2)
     passes = []
-    own = phrases._counted
-    monkeypatch.setattr(phrases, "_counted", lambda docs, now, *rest: passes.append(now) or own(docs, now, *rest))
+    own = phrases._pass
+    monkeypatch.setattr(phrases, "_pass", lambda docs, now, *rest: passes.append(now) or own(docs, now, *rest))
     assert run(spark, rows, sample_bytes=sample_bytes) == plain(rows)
     assert 3 <= len(passes) <= 4  # the sample, and two or three passes over all texts
 
@@ -100,9 +100,10 @@ def test_long_texts_in_slices(spark, size):
 def test_words_of_equal_hash(spark, monkeypatch):
     rows = corpus(5, 40)
     monkeypatch.setattr(words, "block_hashes", lambda spelled, seed=0: spelled.size.astype(np.uint64))
-    counter = phrases._Counts(phrases.Proposal(b"\xff" * 8, b"\xff" * 8), None)
+    everything = phrases.Proposal(*[b"\xff" * 8] * 3)
     for lang, text in rows:
-        got = {p.decode(): f for size, found, _, _, counts in counter.rows((text or "").encode(), 0) if size for p, f in zip(found, counts.tolist(), strict=True)}
+        own = phrases._Words((text or "").encode(), 0, lang or "und", exact=True)
+        got = {p.decode(): f for _, numbers, _, counts in own.phrases(everything, None) for p, f in zip(own.spelled(numbers), counts.tolist(), strict=True)}
         assert got == {" ".join(w): f for (_, w), f in counted([(lang, text)])[0].items()}
 
 
