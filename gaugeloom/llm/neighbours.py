@@ -7,7 +7,8 @@ too few vectors have been verified, all windows are widened (virtual rehashing:
 the same sorted arrays serve every radius) until enough are found.
 
 Vectors are lengthened by one component so that all have the length of the
-longest; then the nearest by distance have the largest inner product.
+longest; then the nearest by distance have the largest inner product. For this they
+are scaled by a power of two, so that no finite vector overflows or vanishes as a whole; scores are of the vectors as they are.
 
 Vectors and queries are dealt into blocks by a hash, and each block of vectors
 meets each block of queries in a task of its own. A task returns the best of every
@@ -26,15 +27,16 @@ from pyspark.sql import functions as F
 
 from gaugeloom.llm.common import partitions
 
-PROJECTIONS = 80
+PROJECTIONS = 128
 #: Collisions from which on a vector is verified.
-THRESHOLD = 63
-#: Share of a block that is verified before a search ends, and how many there are at least for each neighbour asked for.
-SHARE = 0.25
-AT_LEAST = 4
+THRESHOLD = 91
+#: Share of a block that is verified before a search ends, and how many there are at least for each neighbour asked for
+#: (over all blocks that is; the more blocks there are, the fewer of the nearest lie in one).
+SHARE = 0.05
+AT_LEAST = 40
 #: Half-width of the first windows in standard deviations of the projections, and how much each round widens them.
-FIRST = 1.6
-WIDEN = 1.15
+FIRST = 1.2
+WIDEN = 1.05
 BLOCK = 8192
 QUERIES = 2048
 SEED = 20
@@ -77,25 +79,41 @@ def _candidates(arrays: np.ndarray, order: np.ndarray, centres: np.ndarray, unit
     return out
 
 
-def _search(k: int, size: int, longest: float, projections: int, threshold: int, share: float):
+def _directions(queries: np.ndarray) -> np.ndarray:
+    """Queries of length one; the largest component is taken out first, as squares may not be finite."""
+    own = queries / np.abs(queries).max(axis=1, keepdims=True)
+    return own / np.linalg.norm(own, axis=1, keepdims=True)
+
+
+def projected(vectors: np.ndarray, queries: np.ndarray, longest: float, projections: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted arrays, the order that sorts them, and the centres of the queries' windows."""
+    axes = np.random.default_rng(SEED).standard_normal((projections, vectors.shape[1] + 1))
+    rest = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1), 0))
+    cast = axes[:, :-1] @ vectors.T + axes[:, -1:] * rest
+    order = np.argsort(cast, axis=1)
+    # Only the direction of a query matters, so it is brought to the common length.
+    return np.take_along_axis(cast, order, axis=1), order, axes[:, :-1] @ (_directions(queries) * longest).T
+
+
+def enough_of(n: int, blocks: int, k: int, share: float = SHARE) -> int:
+    """How many vectors of a block of ``n`` are verified at least."""
+    return min(n, max(math.ceil(AT_LEAST * (k + 1) / math.sqrt(blocks)), math.ceil(share * n)))
+
+
+def _search(k: int, blocks: int, size: int, longest: float, scale: float, projections: int, threshold: int, share: float):
     def each(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         kind = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
         if not left.num_rows or not right.num_rows:
             return kind.empty_table()
         ids, vectors = left.column("vec_id").to_numpy(), _matrix(left.column("embedding"), size)
         query_ids, queries = right.column("vec_id").to_numpy(), _matrix(right.column("embedding"), size)
-        axes = np.random.default_rng(SEED).standard_normal((projections, size + 1))
-        rest = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1), 0))
-        cast = axes[:, :size] @ vectors.T + axes[:, size:] * rest
-        order = np.argsort(cast, axis=1)
-        arrays = np.take_along_axis(cast, order, axis=1)
-        # Only the direction of a query matters, so it is brought to the common length.
-        aimed = axes[:, :size] @ (queries * (longest / np.linalg.norm(queries, axis=1))[:, None]).T
-        enough = min(len(ids), max(AT_LEAST * (k + 1), math.ceil(share * len(ids))))
+        arrays, order, aimed = projected(vectors * scale, queries, longest, projections)
+        enough = enough_of(len(ids), blocks, k, share)
         rows = []
         for q, found, query in zip(query_ids.tolist(), _candidates(arrays, order, aimed, longest, enough, threshold), queries, strict=True):
             found = found[ids[found] != q]
-            score = vectors[found] @ query
+            with np.errstate(over="ignore", invalid="ignore"):
+                score = np.nan_to_num(vectors[found] @ query, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
             if len(score) > k:  # all that tie with the last one stay until ties are broken
                 near = score >= np.partition(score, -k)[-k]
                 found, score = found[near], score[near]
@@ -113,7 +131,7 @@ def nearest(
     """(query_id, rank, vec_id, score) of the ``k`` nearest rows of ``vectors`` to each row of ``queries``.
 
     Both have vec_id and embedding (array of numbers); other columns are
-    ignored. Nearness is the largest inner product in double precision; equal ones go
+    ignored. Nearness is the largest inner product in double precision, which may be infinite (one that is no number ranks last); equal ones go
     by the smaller vec_id. A row never finds its own vec_id. Vectors that are
     null, zero or hold null, NaN or infinity take no part, nor do rows with a null vec_id. Rows with
     the same vec_id are one entry, the first in order of their vectors. All vectors
@@ -126,19 +144,22 @@ def nearest(
         return own.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
     base, asked = fit(vectors), fit(queries)
-    square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
-    n, longest, size, smallest = base.agg(F.count(F.lit(1)), F.sqrt(F.max(square)), F.max(F.size("embedding")), F.min(F.size("embedding"))).first()
+    largest = F.max(F.array_max(F.transform("embedding", F.abs)))
+    n, size, smallest, top = base.agg(F.count(F.lit(1)), F.max(F.size("embedding")), F.min(F.size("embedding")), largest).first()
     schema = "query_id long, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if size != smallest:
         raise ValueError(f"vectors of {smallest} and {size} components")
+    scale = 2.0 ** max(-1000, min(1000, -math.frexp(top)[1]))
+    square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + (x * scale) * (x * scale))
+    longest = math.sqrt(base.agg(F.max(square)).first()[0])
     m = asked.count()
     blocks, groups = -(-n // block), max(1, -(-m // QUERIES))
     every = lambda c: F.explode(F.sequence(F.lit(0), F.lit(c - 1)))
     left = base.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("b"), every(groups).alias("g"))
     right = asked.select("vec_id", "embedding", every(blocks).alias("b"), F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("g"))
-    found = left.groupBy("b", "g").cogroup(right.groupBy("b", "g")).applyInArrow(_search(k, size, longest, projections, threshold, share), schema)
+    found = left.groupBy("b", "g").cogroup(right.groupBy("b", "g")).applyInArrow(_search(k, blocks, size, longest, scale, projections, threshold, share), schema)
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.repartition(partitions(spark), "query_id").withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -64,3 +64,37 @@ def test_copies_are_all_found(spark):
     table = frame(spark, rows)
     got = found(neighbours.nearest(table, table.where("vec_id = 1000"), 20, block=100).collect())
     assert [i for i, s in got[1000] if abs(s - 8) < 1e-9] == list(range(1001, 1000 + 1 + sum(abs(s - 8) < 1e-9 for _, s in got[1000])))
+
+
+@pytest.mark.parametrize("rows", [
+    [[1e160, 0.0], [1e160, 1e160], [-3e159, 1.0]],
+    [[1e-170, 1e-170], [2e-170, 0.0], [0.0, -1e-170]],
+    [[5e-324, 0.0], [0.0, 5e-324], [5e-324, 5e-324]],
+    [[1e308, -1e308], [1e308, 1e308], [1e-308, 1.0]],
+    [[1e160, 0.0], [1e-170, 1e-170], [1.0, 1.0]],
+    [[1.7e308] * 2] * 3,
+])
+def test_every_finite_vector_ends(spark, rows):
+    table = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    got = found(neighbours.nearest(table, table, 5).collect())
+    with np.errstate(over="ignore", invalid="ignore"):
+        for q in range(3):
+            score = [-np.inf if np.isnan(s) else float(s) for s in (np.array(rows) @ np.array(rows[q]))]
+            assert [i for i, _ in got[q]] == sorted((i for i in range(3) if i != q), key=lambda i: (-score[i], i))
+
+
+def test_few_are_verified():
+    """In a block of many vectors less than a tenth is compared exactly, and nine of ten neighbours are found."""
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((neighbours.BLOCK, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    whole = rng.standard_normal((100_000 - neighbours.BLOCK, 64))
+    whole = np.concatenate([vectors, whole / np.linalg.norm(whole, axis=1, keepdims=True)])
+    queries = vectors[:60]
+    arrays, order, centres = neighbours.projected(vectors, queries, 1.0, neighbours.PROJECTIONS)
+    enough = neighbours.enough_of(len(vectors), 13, 20)
+    got = neighbours._candidates(arrays, order, centres, 1.0, enough, neighbours.THRESHOLD)
+    assert np.mean([len(g) for g in got]) < 0.1 * len(vectors)
+    best = np.argsort(-(queries @ whole.T), axis=1)[:, 1:21]
+    right = [(set(b[b < len(vectors)].tolist()), set(g.tolist())) for b, g in zip(best, got, strict=True)]
+    assert sum(len(b & g) for b, g in right) / sum(len(b) for b, _ in right) >= 0.9
