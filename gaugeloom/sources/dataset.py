@@ -3,21 +3,33 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_years(df: DataFrame, path: str, year: str = "year") -> None:
+#: Order of the rows of a year, as far as a table has these columns, and the size of a row group.
+CLUSTER = ("station_id", "time")
+ROW_GROUP_BYTES = 16 << 20
+
+
+def write_years(
+    df: DataFrame, path: str, year: str = "year", cluster: Sequence[str] = CLUSTER, row_group_bytes: int = ROW_GROUP_BYTES
+) -> None:
     """Replace the years that occur in ``df`` and leave all others as they are.
 
     Rows are first brought together by year into pieces of the advisory
     partition size, so there are few files per year, and a year of any size is
-    split over many tasks.
+    split over many tasks. Each file is in order of ``cluster``, so the statistics of its row groups
+    and pages let a reader of some stations or times skip the others.
     """
+    order = [year, *[c for c in cluster if c in df.columns]]
     (
         df.hint("rebalance", year)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("parquet.block.size", row_group_bytes)
         .partitionBy(year)
         .parquet(path)
     )

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeloom.functions import tails
 from gaugeloom.functions.tails import beta_cdf, f_upper, kolmogorov_upper
 from gaugeloom.operators import inference
 from gaugeloom.operators.chunks import bucket_offsets, exact_medians, ranked_values, value_chunk, value_counts
@@ -139,3 +140,26 @@ def test_interannual_variation(spark):
         means = [np.mean(groups[y, "TT_10", s]) for y in (2000, 2001, 2002)]
         cv.append(np.std(means) / abs(np.mean(means)))
     assert row.n_stations == 2 and row.mean_cv == pytest.approx(np.mean(cv))
+
+
+def test_normal_distribution_function():
+    x = np.concatenate([np.linspace(-12, 12, 40_001), [np.nan, np.inf, -np.inf, 0.0]])
+    got = tails.normal_lower(x)
+    want = np.array([0.5 * math.erfc(-v / math.sqrt(2)) for v in x])
+    assert np.nanmax(np.abs(got - want)) < 1e-15 and np.isnan(got[40_001]) and got[40_002] == 1 and got[40_003] < 1e-18
+
+
+def test_beta_distribution_for_large_parameters():
+    """Near its mean the distribution is normal up to terms in 1 / sqrt(n)."""
+    for n in (1e6, 1e9, 1e12, 1e14):
+        for z in (-2.0, 0.0, 1.0, 3.0):
+            x = 0.5 + z / (2 * math.sqrt(2 * n + 1))
+            normal = 0.5 * math.erfc(-z / math.sqrt(2))
+            assert tails.beta_cdf(x, n, n) == pytest.approx(normal, abs=1e-6)
+    assert tails.beta_cdf(0.3, 2.0, 3.0) == pytest.approx(0.3483, abs=1e-12)
+    assert tails.f_upper(2.5, 4, 1e13) == pytest.approx(0.0404277, abs=1e-6)  # a chi-square law divided by four
+
+
+def test_a_fraction_that_does_not_settle_gives_no_number(monkeypatch):
+    monkeypatch.setattr(tails, "_beta_fraction", lambda *_: None)
+    assert tails.f_upper(1.5, 10, 20) is None

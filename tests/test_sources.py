@@ -3,6 +3,7 @@ import io
 import json
 import zipfile
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,6 +233,44 @@ def test_years_are_replaced_one_by_one(spark, tmp_path):
         dataset.read_years(spark, empty)
 
 
+def scan_metrics(spark, df):
+    """Rows that the scan of a plan gave, after it has run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    leaf = plan.collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_a_slice_of_stations_skips_row_groups(spark, tmp_path):
+    path, rows = str(tmp_path / "data"), 200_000
+    table = spark.range(rows).selectExpr(
+        "2001 AS year", "id * 7919 % 200 AS station_id", "timestamp_ntz'2001-01-01 00:00:00' + make_dt_interval(0, 0, 10 * (id div 200)) AS time", "rand(1) AS a", "rand(2) AS b"
+    )
+    dataset.write_years(table, path, row_group_bytes=1 << 18)
+    groups, met = 0, 0
+    for file in (tmp_path / "data" / "year=2001").glob("*.parquet"):
+        about = pq.ParquetFile(file).metadata
+        column = about.schema.names.index("station_id")
+        for g in range(about.num_row_groups):
+            known = about.row_group(g).column(column).statistics
+            groups, met = groups + 1, met + (known.min <= 17 <= known.max)
+    assert groups > 5 and met <= groups / 3
+    part = dataset.read_years(spark, path).filter("station_id = 17")
+    assert part.count() == rows // 200
+    assert scan_metrics(spark, part) < rows / 3
+
+
+def test_a_failed_report_leaves_the_old_one(spark, tmp_path):
+    path = tmp_path / "report"
+    dataset.write_report(spark.createDataFrame([(1,)], "n int"), str(path))
+    dataset.write_report(spark.createDataFrame([(2,)], "n int"), str(path))
+    with pytest.raises(Exception, match="no such luck"):
+        dataset.write_report(spark.range(1).select(F.raise_error(F.lit("no such luck")).cast("int").alias("n")), str(path))
+    assert [r.n for r in spark.read.json(str(path)).collect()] == [2]
+    assert [p.name for p in tmp_path.iterdir()] == ["report"]
+
+
 def test_report_is_one_json_file(spark, tmp_path):
     path = tmp_path / "report"
     dataset.write_report(spark.createDataFrame([(2000, None), (2001, 1.5)], "year int, pct double"), str(path))
