@@ -23,8 +23,10 @@ RULES = (
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 )
-#: Suffixes of two labels, under which names are registered.
+#: Suffixes of more than one label under which names are registered, as far as no table of them is given; any other is the last label.
 LONG_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
+#: Labels that a suffix has at most.
+MOST_LABELS = 5
 MOST_BAD = 0.5
 #: One-sided bound at 95 % of the normal approximation.
 Z = 1.645
@@ -48,16 +50,26 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
-def _tail(host: Column, labels: int) -> Column:
-    return F.substring_index(host, ".", -labels)
+def with_suffix(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """``hosts`` (host, once each) with ``suffix`` and registered ``domain``, which has one label more.
 
-
-def suffix_of(host: Column) -> Column:
-    return F.when(_tail(host, 2).isin(*LONG_SUFFIXES), _tail(host, 2)).otherwise(_tail(host, 1))
-
-
-def domain_of(host: Column) -> Column:
-    return F.when(_tail(host, 2).isin(*LONG_SUFFIXES), _tail(host, 3)).otherwise(_tail(host, 2))
+    ``suffixes`` has a column ``suffix`` with public suffixes, such as ``co.uk``, ``*.ck`` for all names one label below,
+    and ``!www.ck`` for exceptions from that. The longest one that a host ends with counts, an exception before all others
+    (its suffix is one label shorter); without any it is the last label. A host that is a suffix itself is its own domain.
+    """
+    if suffixes is None:
+        suffixes = hosts.sparkSession.createDataFrame([(s,) for s in LONG_SUFFIXES], "suffix string")
+    rules = suffixes.where("suffix IS NOT NULL").select(F.lower(F.trim("suffix")).alias("rule")).distinct()
+    labels = lambda c: F.size(F.split(c, r"\."))
+    tails = hosts.select("host", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.least(labels("host"), F.lit(MOST_LABELS))), lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), -n)))).alias("tail"))
+    above = F.concat(F.lit("*."), F.regexp_replace("tail", r"^[^.]*\.", ""))
+    asked = tails.select("host", F.inline(F.array(*[F.struct(rule.alias("rule"), (labels("tail") - less).alias("n"), F.lit(rank).alias("rank")) for rule, less, rank in (
+        (F.col("tail"), 0, 0), (F.when(F.col("tail").contains("."), above), 0, 0), (F.concat(F.lit("!"), "tail"), 1, 1),
+    )])))
+    fits = asked.where("rule IS NOT NULL").join(rules, "rule", "left_semi").groupBy("host").agg(F.max(F.struct("rank", "n")).alias("best"))
+    n = F.coalesce(F.col("best.n"), F.lit(1))
+    tail = lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), -n)
+    return hosts.join(fits, "host", "left").select(*hosts.columns, tail(n + 1).alias("domain"), tail(n).alias("suffix"))
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -93,29 +105,29 @@ def _posterior(level: DataFrame) -> DataFrame:
     return out.drop("prior")
 
 
-def reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
+def reputation(outcomes: DataFrame, hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """(host, domain, suffix, n, bad, mean, bound) of every host in ``hosts`` (host).
 
     ``outcomes`` has host and bad (boolean) for each labelled page; rows with
     null are ignored. A host without labels has the posterior of its
-    domain's prior. Without any label every mean is 0.5.
+    domain's prior. Without any label every mean is 0.5. ``suffixes`` is a table for :func:`with_suffix`.
     """
     ones = outcomes.where("host IS NOT NULL AND bad IS NOT NULL").groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
     named = hosts.select("host").where("host IS NOT NULL").distinct().join(ones, "host", "left").na.fill(0, ["n", "bad"])
-    named = stored(named.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}), "hosts")
+    named = stored(with_suffix(named, suffixes), "hosts")
     domains = stored(named.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "domains")
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    total = suffixes.agg(F.sum("bad"), F.sum("n")).first()
+    endings = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    total = endings.agg(F.sum("bad"), F.sum("n")).first()
     overall = ((total[0] or 0) + 0.5) / ((total[1] or 0) + 1)
-    suffixes = _posterior(suffixes.withColumn("prior", F.lit(overall)))
-    priors = suffixes.select("suffix", F.col("mean").alias("prior"))
+    endings = _posterior(endings.withColumn("prior", F.lit(overall)))
+    priors = endings.select("suffix", F.col("mean").alias("prior"))
     domains = _posterior(domains.join(priors, "suffix"))
     priors = domains.select("domain", F.col("mean").alias("prior"))
     return _posterior(named.join(priors, "domain"))
 
 
-def filter_pages(pages: DataFrame, outcomes: DataFrame, rules=RULES, most_bad: float = MOST_BAD) -> DataFrame:
-    """(page_id, host, path, rule, verdict, bound) of every row of ``pages`` (page_id, url; other columns are ignored).
+def filter_pages(pages: DataFrame, outcomes: DataFrame, rules=RULES, most_bad: float = MOST_BAD, suffixes: DataFrame | None = None) -> DataFrame:
+    """(page_id, host, path, rule, verdict, mean, bound) of every row of ``pages`` (page_id, url; other columns are ignored).
 
     ``outcomes`` has page_id and bad (boolean) for labelled pages. The verdict
     is that of the longest fitting rule; without one, block if the lower bound of the host's
@@ -127,7 +139,7 @@ def filter_pages(pages: DataFrame, outcomes: DataFrame, rules=RULES, most_bad: f
     url = F.col("url").cast("string")
     placed = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
     labelled = placed.join(outcomes.select("page_id", "bad"), "page_id").select("host", "bad")
-    known = reputation(labelled, placed).select("host", "bound")
+    known = reputation(labelled, placed, suffixes).select("host", "mean", "bound")
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bound") > most_bad, "block").otherwise("allow")
-    return placed.join(known, "host").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(says, own).alias("verdict"), "bound")
+    return placed.join(known, "host").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(says, own).alias("verdict"), "mean", "bound")

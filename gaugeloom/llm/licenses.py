@@ -17,6 +17,7 @@ from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeloom.llm.common import text_or_empty
@@ -27,17 +28,36 @@ SHARE = 0.8
 #: Shingles of the templates that are sought in one pass; more templates take more passes.
 PASS_SHINGLES = 5000
 
+#: Templates are alike if one holds this share of the other's shingles: of alike ones at one place the best match stays.
+ALIKE = 0.5
+
 #: Wording of notices that are in common use.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "has waived all copyright and related or neighboring rights to this work"),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
 )
 
 
@@ -103,13 +123,37 @@ def _search(docs: DataFrame, templates: list, share: float) -> DataFrame:
     hit = placed.select("row", "shingles", _once(hits).alias("hits")).where(F.size("hits") > 0).select("row", "shingles", "hits", F.explode(lengths).alias("length"))
     first = F.transform("hits", lambda p: F.floor(p / F.col("length")).cast("int"))
     numbers = F.filter(F.array_distinct(F.concat(first, F.transform(first, lambda w: w - 1))), lambda w: w >= 0)
-    window = lambda w: F.struct(w.alias("number"), F.array_distinct(F.slice("shingles", w * F.col("length") + 1, 2 * F.col("length") - SHINGLE + 1)).alias("own"))
+    window = lambda w: F.struct(w.alias("number"), F.slice("shingles", w * F.col("length") + 1, 2 * F.col("length") - SHINGLE + 1).alias("own"))
     windows = hit.select("row", "length", F.inline(F.transform(numbers, window)))
     banded = windows.where(F.size("own") > 0).select("row", "length", "number", "own", F.posexplode(_minima("own")).alias("band", "least"))
     # A row per template of this pass and band: bounded by PASS_SHINGLES.
     met = banded.join(F.broadcast(_bands(spark, templates)), ["length", "band", "least"])
-    found = met.select("row", "template", "license", "number", "length", F.size(F.array_intersect("own", "sought")).alias("shared"), F.size("sought").alias("of"))
-    return found.where(F.col("shared") >= share * F.col("of"))
+    inside = F.array_position(F.transform("own", lambda s: F.array_contains("sought", s)), True) - 1
+    found = met.withColumns({"shared": F.size(F.array_intersect("own", "sought")), "of": F.size("sought")}).where(F.col("shared") >= share * F.col("of"))
+    return found.select("row", "template", "license", "shared", "of", "length", (F.col("number") * F.col("length") + inside).cast("int").alias("first_word"))
+
+
+def _kinds(templates: list) -> dict[int, int]:
+    """Templates that are alike, directly or through others, get the number of the first of them."""
+    kind = {t.template: t.template for t in templates}
+    for t in templates:
+        for u in templates:
+            if len(set(t.sought) & set(u.sought)) >= ALIKE * min(len(t.sought), len(u.sought)):
+                one, other = sorted((kind[t.template], kind[u.template]))
+                kind = {k: one if v == other else v for k, v in kind.items()}
+    return kind
+
+
+def _best_of_alike(found: DataFrame, templates: list) -> DataFrame:
+    """Where alike templates overlap, the one with the largest share, of equal ones the longest."""
+    kinds = _kinds(templates)
+    numbered = found.withColumn("kind", F.element_at(F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair]), F.col("template")))
+    end = F.col("first_word") + F.col("length")
+    order = W.partitionBy("row", "kind").orderBy("first_word", "template")
+    reach = F.max(end).over(order.rowsBetween(W.unboundedPreceding, -1))
+    placed = numbered.withColumn("new", F.when(F.col("first_word") < reach, 0).otherwise(1)).withColumn("place", F.sum("new").over(order))
+    rank = W.partitionBy("row", "kind", "place").orderBy(F.desc(F.col("shared") / F.col("of")), F.desc("of"), "template")
+    return placed.withColumn("rank", F.row_number().over(rank)).where("rank = 1")
 
 
 def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, share: float = SHARE) -> DataFrame:
@@ -119,7 +163,8 @@ def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, shar
     text) of at least five words. Words are runs of letters and digits in lower
     case, shingles five of them. ``shared`` of a template's ``of`` distinct
     shingles stand in the window with the most of them, ``first_word`` is where the
-    first such window begins. ``text_key`` is the hash of the text.
+    first of these shingles begins there, in the first such window. Of templates that are alike (one names a version, the other does
+    not) and lie at one place only the best match is given. ``text_key`` is the hash of the text.
 
     Null, empty and short texts hold nothing. Rows with a null doc_id are
     scanned like all others. Rows equal in doc_id and text give the same row once. An
@@ -133,6 +178,8 @@ def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, shar
     found = [_search(rows, p, share) for p in passes]
     if not found:
         return rows.limit(0).select("row.*", *(F.lit(None).cast(t).alias(n) for n, t in (("template", "int"), ("license", "string"), ("shared", "int"), ("of", "int"), ("first_word", "int"))))
-    order = F.struct(F.col("shared").alias("shared"), (-F.col("number") * F.col("length")).alias("back"))
+    order = F.struct(F.col("shared").alias("shared"), (-F.col("first_word")).alias("back"), F.col("length").alias("length"))
     best = reduce(DataFrame.union, found).groupBy("row", "template", "license", "of").agg(F.max(order).alias("best"))
-    return best.select("row.doc_id", "row.text_key", "template", "license", "best.shared", "of", (-F.col("best.back")).alias("first_word"))
+    each = best.select("row", "template", "license", "best.shared", "of", "best.length", (-F.col("best.back")).alias("first_word"))
+    kept = _best_of_alike(each, [t for p in passes for t in p])
+    return kept.select("row.doc_id", "row.text_key", "template", "license", "shared", "of", "first_word")

@@ -53,11 +53,15 @@ def op5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The outcome of a page is that of the labelled document with its number: bad if toxic or of low quality."""
+    """The outcome of a page is that of the labelled document with its number: bad if toxic or of low quality.
+
+    ``mean`` and ``bound`` are the posterior share of bad pages of the host and its lower bound, to twelve digits.
+    """
     labels = table(spark, sf_dir, "labels")
     bad = (F.coalesce("toxic", F.lit(0)) == 1) | (F.coalesce("quality", F.lit(1)) == 0)
     outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
-    return hosts.filter_pages(table(spark, sf_dir, "pages"), outcomes).drop("bound")
+    judged = hosts.filter_pages(table(spark, sf_dir, "pages"), outcomes)
+    return judged.withColumns({c: F.round(c, 12) for c in ("mean", "bound")})
 
 
 def op7_latent(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,3 +113,20 @@ def test_a_hot_host_does_not_decide_for_all(spark):
         host(f"h{i}.com", 16, 4)
     got = {r[1]: r[4] for r in run(spark, pages, outcomes)}
     assert {name for name, verdict in got.items() if verdict == "block"} == {"bad.com"}
+
+
+def test_suffix_table(spark):
+    """Longest rule, one-label wildcards and exceptions, as public suffix lists have them."""
+    rules = ["com", "uk", "co.uk", "*.ck", "!www.ck", "jp", "*.kobe.jp", "!city.kobe.jp", "a.b.c.d", None, " ORG "]
+    want = {
+        "example.com": ("example.com", "com"), "www.example.com": ("example.com", "com"), "com": ("com", "com"), "x.y.co.uk": ("y.co.uk", "co.uk"),
+        "co.uk": ("co.uk", "co.uk"), "uk": ("uk", "uk"), "a.b.ck": ("a.b.ck", "b.ck"), "x.a.b.ck": ("a.b.ck", "b.ck"), "www.ck": ("www.ck", "ck"),
+        "x.www.ck": ("www.ck", "ck"), "x.city.kobe.jp": ("city.kobe.jp", "kobe.jp"), "x.y.other.kobe.jp": ("y.other.kobe.jp", "other.kobe.jp"),
+        "z.a.b.c.d": ("z.a.b.c.d", "a.b.c.d"), "unknown.zz": ("unknown.zz", "zz"), "": ("", ""), "a.org": ("a.org", "org"),
+    }
+    table = spark.createDataFrame([(r,) for r in rules], "suffix string")
+    names = spark.createDataFrame([(h,) for h in want], "host string")
+    got = {r.host: (r.domain, r.suffix) for r in hosts.with_suffix(names, table).collect()}
+    assert got == want
+    plainly = {r.host: (r.domain, r.suffix) for r in hosts.with_suffix(names).collect()}
+    assert plainly["x.y.co.uk"] == ("y.co.uk", "co.uk") and plainly["x.a.b.ck"] == ("b.ck", "ck")
