@@ -4,18 +4,21 @@ The passages of the benchmark are TF-IDF vectors over the benchmark's own
 vocabulary, weighted by how many documents of the whole corpus hold a word. A
 distributed randomised SVD gives their latent space: blocks of passages are
 multiplied where they lie, and only the sums, with a row per word of the
-vocabulary, come together. Every window of every document is folded into that
-space; its length also counts the words outside the vocabulary, each with the mean weight.
+vocabulary, come together. A space keeps the directions that hold ``ENERGY`` of its passages'
+squared length, at most ``RANK``, and has fewer of them than passages. Every window of every document is folded into that
+space, and compared with the passages there, both at length one: a passage that stands in a
+document word for word has the cosine one whatever was cut off. A window is
+only compared if the space holds enough of its weight, words outside the vocabulary counting with the mean weight.
 Windows close to a passage are candidates. A candidate holds if the longest common
 subsequence of the whole item and the words around the window covers most of the item, or
 less of it but with the item's answer.
 
-A window can only be close if enough of its weight lies within the vocabulary, and if
-its words, each as strong as in the passage that has most of it, reach the bound together.
+The space can only hold enough of a window if enough of its weight lies within the vocabulary, and it can only be close to
+a passage if its words, each as strong as in the passage that has most of it, reach the bound together.
 Both are tested before anything is folded in and lose no candidate.
 
-A space holds at most ``RANK`` passages, so it has a direction for each and
-cuts none off; an item with more passages spreads over several spaces. The documents are
+A space holds at most ``TOGETHER`` passages, so that its directions keep enough of each;
+an item with more passages spreads over several spaces. The documents are
 scanned once for about ``ITEMS`` items or ``PASSAGES`` passages, against all their spaces, so
 what a task holds has a bound for a benchmark of any size (a longer item has a scan with others of its hash).
 """
@@ -40,7 +43,11 @@ ITEMS, PASSAGES = 1000, 2000
 #: Words of half a window; windows overlap by half.
 HALF = 16
 RANK, EXTRA, ROUNDS = 384, 8, 2
-COSINE = 0.3
+TOGETHER = 800
+#: Share of the passages' squared length that a space keeps, if ``RANK`` directions can.
+ENERGY = 0.8
+#: Least cosine within the space, and least share of a window's length that lies in the space.
+COSINE, HELD = 0.45, 0.3
 #: No count t makes (1 + ln t)**2 exceed this many times t.
 REPEATS = 1.5
 #: No count t up to the words of a window makes it less than this many times t.
@@ -63,7 +70,7 @@ class Item(NamedTuple):
 
 
 class Space(NamedTuple):
-    """Weights of the space's words, word directions (words, rank), passages (passages, rank), the most any passage has of each word, the item of each passage and where it begins there.
+    """Weights of the space's words, word directions (words, rank), passages of length one (passages, rank), the most any passage has of each word, the item of each passage and where it begins there.
 
     ``place`` has the word of the space for each word of the scan, and one more: -1 for those the space has not.
     """
@@ -189,15 +196,21 @@ def _times(passages: DataFrame, vocabulary: np.ndarray, weight: np.ndarray, righ
     return out
 
 
-def directions(passages: DataFrame, vocabulary: np.ndarray, weight: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """Right singular vectors (words, rank) of the passages, by subspace iteration from a random start."""
+def directions(passages: DataFrame, vocabulary: np.ndarray, weight: np.ndarray, rank: int = RANK, energy: float = 1.0, count: int = 0) -> np.ndarray:
+    """Right singular vectors (words, directions) of the passages, by subspace iteration from a random start.
+
+    There are ``rank`` at most, and no more than hold the share ``energy`` of the squared length of ``count`` passages.
+    """
     width = min(rank + EXTRA, len(vocabulary))
     basis = np.linalg.qr(np.random.default_rng(SEED).standard_normal((len(vocabulary), width)))[0]
     for _ in range(ROUNDS):
         basis = np.linalg.qr(_times(passages, vocabulary, weight, basis))[0]
     value, turn = np.linalg.eigh(basis.T @ _times(passages, vocabulary, weight, basis))
     best = np.argsort(-value)[:rank]
-    return (basis @ turn[:, best[value[best] > 1e-9]]).astype(np.float32)
+    best = best[value[best] > 1e-9]
+    if energy < 1:
+        best = best[: np.searchsorted(np.cumsum(value[best]), energy * count) + 1]
+    return (basis @ turn[:, best]).astype(np.float32)
 
 
 def common_length(item: list[int], words: list[int]) -> int:
@@ -230,7 +243,7 @@ def _items(block: DataFrame) -> tuple[list[Item], np.ndarray, np.ndarray]:
     return items, np.array(kept_h, dtype=np.uint64), np.r_[0, np.cumsum(counts)].astype(np.int64)
 
 
-def blocks_of(first: np.ndarray, rank: int = RANK) -> list[list[tuple[int, int, int]]]:
+def blocks_of(first: np.ndarray, rank: int = TOGETHER) -> list[list[tuple[int, int, int]]]:
     """Blocks of at most ``rank`` passages, each a list of (item, begin, end) of stretches of words of one item."""
     out: list[list[tuple[int, int, int]]] = [[]]
     held = 0
@@ -247,7 +260,7 @@ def blocks_of(first: np.ndarray, rank: int = RANK) -> list[list[tuple[int, int,
     return out
 
 
-def fit(block: DataFrame, docs: DataFrame, rank: int = RANK) -> Scan | None:
+def fit(block: DataFrame, docs: DataFrame, rank: int = RANK, energy: float = ENERGY, together: int = TOGETHER) -> Scan | None:
     """The latent spaces of some benchmark items; null if no item has a word."""
     items, h, first = _items(block)
     if not items:
@@ -256,20 +269,22 @@ def fit(block: DataFrame, docs: DataFrame, rank: int = RANK) -> Scan | None:
     counts, n = document_counts(docs, vocabulary)
     idf = np.log((n + 1) / (counts + 0.5))
     spaces = []
-    for stretches in blocks_of(first, rank):
+    for stretches in blocks_of(first, together):
         parts = [h[first[k] + a : first[k] + b] for k, a, b in stretches]
         begins = np.r_[0, np.cumsum([len(x) for x in parts])]
         joined = np.concatenate(parts)
         own = np.unique(joined)
         of_scan = np.searchsorted(vocabulary, own)
         weight = idf[of_scan]
-        axes = directions(block.sparkSession.createDataFrame([(_spelled(x),) for x in parts], "hashes binary"), own, weight, rank)
+        count = len(_passages(joined, begins))
+        axes = directions(block.sparkSession.createDataFrame([(_spelled(x),) for x in parts], "hashes binary"), own, weight, rank, energy, count)
         at = np.searchsorted(own, joined)
         rows, item, offset = [], [], []
         for part, a, b in _passages(joined, begins):
             word, times = np.unique(at[a:b], return_counts=True)
             entry = (1 + np.log(times)) * weight[word]
-            rows.append((entry @ axes[word]) / np.sqrt(entry @ entry))
+            folded = entry @ axes[word]
+            rows.append(folded / max(float(np.sqrt(folded @ folded)), 1e-12))
             item.append(stretches[part][0])
             offset.append(stretches[part][1] + a - int(begins[part]))
         place = np.full(len(vocabulary) + 1, -1, dtype=np.int64)
@@ -281,8 +296,8 @@ def fit(block: DataFrame, docs: DataFrame, rank: int = RANK) -> Scan | None:
 
 
 def _search(scan: Scan, cosine: float):
-    limit = np.float32(cosine)
-    below = 0.999 * cosine  # leaves room for rounding
+    limit = np.float32(HELD)
+    below = 0.999 * cosine * HELD  # leaves room for rounding
 
     def near_passages(space: Space, first: np.ndarray, term: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
         """(text, begin, end, passage, cosine) of every window close to a passage; ``term`` are words of the space."""
@@ -323,14 +338,16 @@ def _search(scan: Scan, cosine: float):
             number[strong] = np.arange(len(strong))
             use = number[at] >= 0
             at, word, entry = number[at[use]], word[use], entry[use]
-            near = np.empty((len(strong), len(space.passages)), dtype=np.float32)
+            near, length = np.empty((len(strong), len(space.passages)), dtype=np.float32), np.empty(len(strong), dtype=np.float32)
             for b in range(0, len(strong), 512):  # the words of the windows are in the windows' order
                 lo, hi = np.searchsorted(at, [b, b + 512])
                 scaled = entry[lo:hi, None].astype(np.float32) * space.axes[word[lo:hi]]
                 folded = np.add.reduceat(scaled, np.flatnonzero(np.diff(at[lo:hi], prepend=-1)))
                 near[b : b + 512] = folded @ space.passages.T
-            near /= np.sqrt(square[strong])[:, None].astype(np.float32)
-            for x, p in zip(*np.nonzero(near >= limit), strict=True):
+                length[b : b + 512] = np.sqrt((folded * folded).sum(axis=1))
+            near /= np.maximum(length, 1e-12)[:, None]
+            near[length < limit * np.sqrt(square[strong])] = 0
+            for x, p in zip(*np.nonzero(near >= cosine), strict=True):
                 w = a + int(strong[x])
                 yield int(of[chosen[w]]), int(begin[w]), int(end[w]), int(p), float(near[x, p])
 

@@ -13,6 +13,7 @@ import os
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
@@ -21,6 +22,8 @@ from gaugeloom.llm import words as wd
 #: Bytes of chunks and their ids a task remembers before it begins anew, and what an entry costs beside its bytes.
 REMEMBERED = 64_000_000
 ENTRY = 150
+#: What of it a worker keeps for its next task: the chunks learned first, which are mostly the most frequent.
+KEPT = 16_000_000
 JOINED = 2000
 #: Text looked up together; the longer, the rarer a chunk is looked up again.
 PIECE_BYTES = 4_000_000
@@ -50,10 +53,11 @@ class Encoder:
         self.seen: dict[bytes, bytes] = {}
         self.held = 0
 
-    def release(self) -> None:
-        """Forget all chunks, so that a worker kept for other tasks gives back their memory."""
-        self.seen = {}
-        self.held = 0
+    def release(self, kept: int = 0) -> None:
+        """Forget all chunks but the first ones, of about ``kept`` bytes, so that an idle worker holds little."""
+        if self.held > kept:
+            self.seen = dict(islice(self.seen.items(), len(self.seen) * kept // self.held))
+            self.held = kept if self.seen else 0
 
     def _raw(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -151,12 +155,12 @@ def _loaded(path: str) -> Encoder:
 
 @contextmanager
 def encoder(path: str) -> Iterator[Encoder]:
-    """The encoder of this worker for one task. The vocabulary stays loaded, what the task has learned goes with it."""
+    """The encoder of this worker for one task. Most of what the task has learned goes with it."""
     own = _loaded(path)
     try:
         yield own
     finally:
-        own.release()
+        own.release(KEPT)
 
 
 def wide(raw: bytes, kind: np.dtype) -> np.ndarray:

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from gaugeloom.llm import packing, records, words
+from gaugeloom.llm import packing, records, tokens, words
 from gaugeloom.llm.tokens import Encoder, encoder
 from gaugeloom.session import shared_dir
 
@@ -170,10 +170,16 @@ def test_equal_hashes_are_told_apart(monkeypatch):
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == [ids_of(t)[:-1] for t in texts]
 
 
-def test_what_a_task_learned_goes_with_it():
-    with encoder(PATH) as own:
-        own.encode([b"some words here"])
-        assert own.seen and own.held
+def test_an_idle_worker_holds_little(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT", 4000)
+    texts = [f"the word number {i} of x{i}y" for i in range(500)]
+    for _ in range(3):
+        with encoder(PATH) as own:
+            got = own.encode([t.encode() for t in texts])
+            assert [np.frombuffer(g, "<u2").tolist() for g in got] == [ids_of(t)[:-1] for t in texts]
+            assert own.held > 4000
+        assert 0 < len(own.seen) < 40 and own.held <= 4000 and b"the" in own.seen
+    own.release()
     assert not own.seen and not own.held
 
 
