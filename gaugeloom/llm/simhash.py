@@ -13,7 +13,7 @@ compared in different tasks, and each returns a spanning forest, not its pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
@@ -52,16 +52,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(values), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; a null text counts as an empty one."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, fp, and the ``carried`` columns) of every row; a null text counts as an empty one."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t, shingle) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             signed = np.array(found, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed, pa.int64()), *batch.columns[2:]], ["doc_id", "fp", *carried])
 
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(each, "doc_id long, fp long")
+    kinds = dict(docs.dtypes)
+    schema = ", ".join(["doc_id long", "fp long", *[f"{c} {kinds[c]}" for c in carried]])
+    return docs.select("doc_id", text_or_empty().alias("text"), *carried).mapInArrow(each, schema)
 
 
 def _segment(fp, i: int, n: int = 1) -> np.ndarray:
@@ -202,6 +204,17 @@ def links(distinct: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFram
     return dealt.mapInArrow(_links(bits), "a long, b long")
 
 
+def grouped(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, carried: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, fp, root, component_id, and the ``carried`` columns) of every row; ``root`` names a component whatever its numbers."""
+    marked = stored(fingerprints(docs, shingle, carried), "fingerprints")
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    tree = components(links(least, bits)).withColumnRenamed("node", "fp")
+    rooted = stored(least.join(tree, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = rooted.join(named, "root").select("fp", "root", "component_id")
+    return marked.join(of, "fp").select("doc_id", "fp", "root", "component_id", *carried)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -211,10 +224,4 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
     and links, but cannot name a component (it is null if no row can). Repeated
     rows come out as often as they came in. An empty table gives an empty result.
     """
-    marked = stored(fingerprints(docs, shingle), "fingerprints")
-    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    tree = components(links(least, bits)).withColumnRenamed("node", "fp")
-    rooted = stored(least.join(tree, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = rooted.join(named, "root").select("fp", "component_id")
-    return marked.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return grouped(docs, shingle, bits).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
