@@ -33,9 +33,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays, in one row."""
-    first = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    """Of each group of near copies one row stays: that with the smallest doc_id, of several such that with the smallest hash of its text.
+
+    Rows that share a doc_id but not a text are documents of their own, each judged by its own text.
+    """
+    keyed = docs.withColumn("text_key", F.xxhash64(text_or_empty()))
+    near = simhash.grouped(keyed.where("doc_id IS NOT NULL"), carried=["text_key"])
+    first = near.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("row")).select("row.*")
+    kept = keyed.join(first, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return kept.unionByName(keyed.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
