@@ -58,7 +58,7 @@ def with_suffix(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFram
     (its suffix is one label shorter); without any it is the last label. A host that is a suffix itself is its own domain.
     """
     if suffixes is None:
-        suffixes = hosts.sparkSession.createDataFrame([(s,) for s in LONG_SUFFIXES], "suffix string")
+        suffixes = hosts.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, LONG_SUFFIXES))).alias("suffix"))
     rules = suffixes.where("suffix IS NOT NULL").select(F.lower(F.trim("suffix")).alias("rule")).distinct()
     labels = lambda c: F.size(F.split(c, r"\."))
     tails = hosts.select("host", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.least(labels("host"), F.lit(MOST_LABELS))), lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), -n)))).alias("tail"))
