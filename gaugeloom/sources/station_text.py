@@ -22,6 +22,7 @@ With ``spark.sql.python.filterPushdown.enabled``, conditions on ``year`` are app
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fnmatch import fnmatch
@@ -30,9 +31,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as ds
 
+# The source travels with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 RANGE_BYTES = 64 << 20
 #: Bytes read at once within a range; the longest header line.
