@@ -23,7 +23,7 @@ from gaugeloom.llm import words as wd
 REMEMBERED = 64_000_000
 ENTRY = 150
 #: What of it a worker keeps for its next task: the chunks learned first, which are mostly the most frequent.
-KEPT = 16_000_000
+KEPT = 32_000_000
 JOINED = 2000
 #: Text looked up together; the longer, the rarer a chunk is looked up again.
 PIECE_BYTES = 4_000_000
