@@ -88,16 +88,52 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str = "value") -> Da
     )
 
 
-def bucket_offsets(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per group and bucket the rows below the bucket, in it and in the whole group."""
+def split_large(counts: DataFrame, keys: Sequence[str], most: int, value: str = "value") -> DataFrame:
+    """Value counts dealt by group and bucket, where a group of at most ``most`` rows is one bucket.
+
+    Only larger groups keep the buckets of their values. They are listed by all keys but the
+    last one; the lists hold at most as many groups as rows divided by ``most``, so they may be
+    broadcast. What groups, joins or sorts by group and bucket afterwards needs no other shuffle of the counts.
+    """
+    *outer, inner = keys
+    sizes = counts.groupBy(*keys).agg(F.sum("cnt").alias("_rows"))
+    lists = sizes.groupBy(*outer).agg(F.collect_list(F.when(F.col("_rows") > most, F.col(inner))).alias("_large"))
+    bucket = F.when(F.array_contains("_large", F.col(inner)), F.col("bucket")).otherwise(F.lit(0).cast("bigint"))
+    marked = counts.join(F.broadcast(lists), outer)
+    return marked.select(*keys, value, "cnt", bucket.alias("bucket")).repartition(*keys, "bucket")
+
+
+def bucket_offsets(counts: DataFrame, keys: Sequence[str], value: str | None = None) -> DataFrame:
+    """Per group and bucket the rows below the bucket, in it and in the whole group.
+
+    With ``value`` also the group's ``mean``, kept within its lowest and highest value, so that equal values have none other.
+    """
     group = Window.partitionBy(*keys)
     below = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return (
+    sums = [F.sum("cnt").alias("in_bucket")]
+    if value:
+        sums += [F.sum(F.col("cnt") * F.col(value)).alias("_total"), F.min(value).alias("_lo"), F.max(value).alias("_hi")]
+    offsets = (
         counts.groupBy(*keys, "bucket")
-        .agg(F.sum("cnt").alias("in_bucket"))
+        .agg(*sums)
         .withColumn("offset", F.coalesce(F.sum("in_bucket").over(below), F.lit(0).cast("bigint")))
         .withColumn("n", F.sum("in_bucket").over(group))
     )
+    if not value:
+        return offsets
+    mean = F.sum("_total").over(group) / F.col("n")
+    mean = F.greatest(F.least(mean, F.max("_hi").over(group)), F.min("_lo").over(group))
+    return offsets.withColumn("mean", mean).drop("_total", "_lo", "_hi")
+
+
+def cumulated(counts: DataFrame, offsets: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
+    """Value counts with the running total ``cum`` of their group and the columns of their bucket.
+
+    The total inside a bucket is taken before the join, which then finds the counts in its own order.
+    """
+    inside = Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.withColumn("_inside", F.sum("cnt").over(inside))
+    return running.join(offsets, [*keys, "bucket"]).withColumn("cum", F.col("offset") + F.col("_inside")).drop("_inside")
 
 
 def ranked_values(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:

@@ -20,7 +20,7 @@ from gaugeloom.config import (
 )
 from gaugeloom.functions.scalar import band
 from gaugeloom.functions.tails import f_upper_tail, kolmogorov_upper_tail, normal_cdf
-from gaugeloom.operators.chunks import bucket_offsets, exact_medians, ranked_values, value_counts
+from gaugeloom.operators.chunks import bucket_offsets, cumulated, ranked_values, split_large, value_counts
 from gaugeloom.operators.profile import with_rank
 from gaugeloom.session import stored
 
@@ -93,34 +93,44 @@ def levene_statistic(
     obs: DataFrame,
     min_values: int = MIN_VALUES_VARIANCE,
     min_stations: int = MIN_STATIONS_VARIANCE,
+    split_above: int = 1_000_000,
 ) -> DataFrame:
     """Median-centred Levene statistic over the stations of a year, and their variances.
 
-    Stations meet their medians on the value buckets that split them, so a
-    station of any size stays spread. All sums are taken of distances from the
-    median, which keeps the differences of squares well away from cancellation.
+    The values of a station are sorted once, stations of more than ``split_above`` rows a year
+    in the buckets of their values, so a station of any size stays spread. The distances from the median
+    add up to the upper half of the values less the lower half, whatever the median is. All sums are
+    taken of distances from the station's mean, which keeps them well away from cancellation.
     """
-    counts = value_counts(_measured(obs), SERIES)
-    offsets = bucket_offsets(counts, SERIES).filter(F.col("n") >= min_values)
-    medians = exact_medians(counts, offsets, SERIES)
-    centres = offsets.select(*SERIES, "bucket").join(medians, list(SERIES))
-    n, d = F.col("cnt").cast("double"), F.col("value") - F.col("median")
+    counts = split_large(value_counts(_measured(obs), SERIES), SERIES, split_above)
+    offsets = bucket_offsets(counts, SERIES, "value").filter(F.col("n") >= min_values)
+    cum, cnt, size = F.col("cum"), F.col("cnt"), F.col("n")
+    before, half, none = cum - cnt, F.floor(size / F.lit(2)), F.lit(0).cast("bigint")
+    lower = F.greatest(F.least(cum, half) - before, none)
+    upper = F.greatest(cum - F.greatest(before, size - half), none)
+    d = F.col("value") - F.col("mean")
     total = F.col("n_i").cast("double")
+    shift = F.col("median") - F.col("mean")
+    squared = F.col("about_mean") - F.lit(2.0) * shift * F.col("signed") + total * shift * shift
     station = (
-        counts.join(centres, [*SERIES, "bucket"])
+        cumulated(counts, offsets, SERIES)
         .groupBy(*SERIES)
         .agg(
-            F.sum("cnt").alias("n_i"),
-            F.sum(n * d).alias("signed"),
-            F.sum(n * F.abs(d)).alias("absolute"),
-            F.sum(n * d * d).alias("squared"),
+            F.max("n").alias("n_i"),
+            F.max("mean").alias("mean"),
+            F.min(F.when(cum >= size - half, F.col("value"))).alias("lo"),
+            F.min(F.when(cum >= half + 1, F.col("value"))).alias("hi"),
+            F.sum(cnt * d).alias("signed"),
+            F.sum((upper - lower) * d).alias("absolute"),
+            F.sum(cnt * d * d).alias("about_mean"),
         )
+        .withColumn("median", (F.col("lo") + F.col("hi")) / F.lit(2.0))
         .select(
             *GROUP,
             "n_i",
             (F.col("absolute") / total).alias("z_mean"),
-            (F.col("squared") - F.col("absolute") * F.col("absolute") / total).alias("z_within"),
-            ((F.col("squared") - F.col("signed") * F.col("signed") / total) / total).alias("variance"),
+            (squared - F.col("absolute") * F.col("absolute") / total).alias("z_within"),
+            ((F.col("about_mean") - F.col("signed") * F.col("signed") / total) / total).alias("variance"),
         )
     )
     # One row per station and year from here on.

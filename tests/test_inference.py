@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gaugeloom.functions import tails
 from gaugeloom.functions.tails import beta_cdf, f_upper, kolmogorov_upper
 from gaugeloom.operators import inference
-from gaugeloom.operators.chunks import bucket_offsets, exact_medians, ranked_values, value_chunk, value_counts
+from gaugeloom.operators.chunks import bucket_offsets, exact_medians, ranked_values, split_large, value_chunk, value_counts
 
 
 def long_table(spark, groups):
@@ -74,6 +74,27 @@ def test_levene_statistic(spark):
         assert row.homogeneous == (row.levene_p > 0.05) and row.has_issues != row.homogeneous
 
 
+def test_levene_splits_only_large_stations(spark):
+    """Any way of splitting gives the same statistic, and a station of few rows is one bucket."""
+    obs = long_table(spark, samples())
+    whole, parts = (
+        {(r.year, r.variable): r for r in inference.levene_statistic(obs, split_above=most).collect()} for most in (1000, 20)
+    )
+    assert set(whole) == set(parts) and whole
+    for key, row in whole.items():
+        assert list(parts[key])[2:] == pytest.approx(list(row)[2:])
+    counts = value_counts(obs, inference.SERIES)
+    dealt = split_large(counts, inference.SERIES, 20).groupBy(*inference.SERIES)
+    for r in dealt.agg(F.sum("cnt").alias("n"), F.count_distinct("bucket").alias("buckets")).collect():
+        assert r.buckets == 1 or r.n > 20
+
+
+def test_stations_of_equal_values_have_no_variance(spark):
+    groups = {(2000, "TT_10", 0): [0.07] * 13, (2000, "TT_10", 1): [0.1, 0.2] * 7 + [0.1, 1e6, -3.0]}
+    row = inference.levene_statistic(long_table(spark, groups)).first()
+    assert row.min_variance == 0.0 and row.variance_ratio == float("inf")
+
+
 def test_infinite_values_raise_an_issue_but_no_nan(spark):
     groups = samples()
     groups[2000, "TT_10", 0] = groups[2000, "TT_10", 0] + [float("inf")]

@@ -37,6 +37,17 @@ def test_value_counts_are_shared(spark):
     assert final.count("FileScan") == 1 and final.count("ReusedExchange") >= 2
 
 
+def test_counted_values_are_dealt_once_and_sorted_once(spark):
+    """By station and bucket; the joins find them in this order. All else that moves has a row per station or bucket."""
+    df = inference.levene_statistic(A.long_lineitem(spark, SF_DIR))
+    first = physical(df)
+    assert len(re.findall(r"Sort \[[^\n]*value#", first)) == 1
+    df.collect()
+    final = physical(df).split("== Initial Plan ==")[0]
+    dealt = [line for line in final.splitlines() if "REPARTITION_BY_COL" in line]
+    assert len([line for line in dealt if "ReusedExchange" not in line]) == 1 and len(dealt) == 2
+
+
 def test_no_cross_joins_and_no_row_udfs(spark):
     for name in ("fill_gaps", "regularize_interval", "resolve_overlaps", "levene", "ks_normality", "duration_stack"):
         plan = physical(QUERIES[name](spark, SF_DIR))
