@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,32 +86,36 @@ def extract_links(pages: DataFrame, suffix: str = ".zip", html: str = "html") ->
     )
 
 
-def expand_archives(archives: DataFrame, first_only: bool = False, flush_bytes: int = 16 << 20) -> DataFrame:
+def expand_archives(archives: DataFrame, first_only: bool = False, flush_bytes: int = 4 << 20) -> DataFrame:
     """Members of zip archives ``(archive, content)``, one row per member.
 
     ``first_only`` keeps the first member of every archive and, of members with
-    the same name, the one of the first archive by name. Members leave a task
-    in batches of about ``flush_bytes``.
+    the same name, the one of the first archive by name. Archives are opened one by one where they
+    lie in their batch, and members leave a task in batches of about ``flush_bytes``.
     """
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.binary()]
     columns = ["archive", "member_idx", "member", "content"]
 
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batch_of(pending: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*pending), kinds)], columns)
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[tuple] = []
         size = 0
         for batch in batches:
-            for archive, content in zip(batch["archive"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
+            for archive, content in zip(batch.column("archive"), batch.column("content")):
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as z:
                     names = [i for i in z.infolist() if not i.is_dir()]
                     for index, info in enumerate(names[:1] if first_only else names):
-                        pending.append((archive, index, info.filename, z.read(info)))
+                        pending.append((archive.as_py(), index, info.filename, z.read(info)))
                         size += info.file_size
                         if size >= flush_bytes or len(pending) >= 4096:
-                            yield pd.DataFrame(pending, columns=columns)
+                            yield batch_of(pending)
                             pending, size = [], 0
         if pending:
-            yield pd.DataFrame(pending, columns=columns)
+            yield batch_of(pending)
 
-    rows = archives.select("archive", "content").mapInPandas(
+    rows = archives.select("archive", "content").mapInArrow(
         members, "archive string, member_idx int, member string, content binary"
     )
     if not first_only:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gaugeloom.config import FOLD_COLUMNS
 from gaugeloom.plans import stages
 from gaugeloom.sources import catalog, dataset, delimited, station_text
+from workload.queries import QUERIES
 
 HEADERS = {
     "wind": "STATIONS_ID;MESS_DATUM;  QN;FF_10;DD_10;eor",
@@ -185,6 +186,22 @@ def test_archives(spark):
     assert [(r.archive, r.member) for r in first] == [("a.zip", "m1")]
 
 
+def test_archives_are_read_where_they_lie(spark, tmp_path):
+    """No batch of archives or pages becomes a table of Python objects; empty archives and folders have no members."""
+    data = [(f"{i:03d}.zip", zipped([("d/", ""), (f"m{i}", "x" * i)])) for i in range(300)] + [("none.zip", zipped([]))]
+    archives = spark.createDataFrame(data, "archive string, content binary").coalesce(1)
+    got = catalog.expand_archives(archives, flush_bytes=1000)
+    assert sorted((r.archive, r.member_idx, r.member, len(r.content)) for r in got.collect()) == [(f"{i:03d}.zip", 0, f"m{i}", i) for i in range(300)]
+    pages = spark.createDataFrame([(7, "http://a/", "<p>é</p>"), (8, "", "")], "page_id long, url string, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    df = QUERIES["expand_archives"](spark, str(tmp_path))
+    assert sorted((r.archive, r.member_idx, r.member, r.n_bytes) for r in df.collect()) == [
+        ("7.zip", 0, "url.txt", 9), ("7.zip", 1, "page_7.html", 9), ("8.zip", 0, "url.txt", 0), ("8.zip", 1, "page_8.html", 0)
+    ]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "MapInPandas" not in plan
+
+
 def test_links(spark):
     html = '<a href="x.zip">x</a><A class="c" href="y.ZIP">y</A><link href="z.zip"><a href="">e</a><a href="w.zip">w</a>'
     pages = spark.createDataFrame([(1, html)], "page_id int, html string")

@@ -6,7 +6,7 @@ import io
 import zipfile
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,19 +126,21 @@ def extract_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contents = []
-            for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"]):
-                out = io.BytesIO()
-                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-                    z.writestr("url.txt", url)
-                    z.writestr(f"page_{page_id}.html", html)
-                contents.append(out.getvalue())
-            yield pd.DataFrame({"archive": batch["page_id"].astype(str) + ".zip", "content": contents})
+            for at in range(0, batch.num_rows, 256):
+                names, contents = [], []
+                for page_id, url, html in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                    out = io.BytesIO()
+                    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                        z.writestr("url.txt", url)
+                        z.writestr(f"page_{page_id}.html", html)
+                    names.append(f"{page_id}.zip")
+                    contents.append(out.getvalue())
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(contents, pa.binary())], ["archive", "content"])
 
     pages = A.table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    archives = pages.mapInPandas(packed, "archive string, content binary")
+    archives = pages.mapInArrow(packed, "archive string, content binary")
     return files.expand_archives(archives).select(
         "archive",
         F.col("member_idx").cast("bigint").alias("member_idx"),
