@@ -1,9 +1,9 @@
 """Token ids of whole batches of texts from a public vocabulary file.
 
 White space always ends a token of a vocabulary with word ends, so a text is split
-at ASCII white space and each distinct chunk is encoded once; with any other vocabulary whole texts are encoded. Most new chunks
-are letters with some punctuation behind, which this kind of vocabulary also parts: their
-letters are encoded many at a time, joined by spaces, as each of them is one word
+at ASCII white space and each distinct chunk is encoded once; with any other vocabulary whole texts are encoded. Most chunks
+are letters with some punctuation behind, which this kind of vocabulary also parts: ASCII letters in lower case and what
+follows them are chunks of their own. New letters are encoded many at a time, joined by spaces, as each of them is one word
 with one end token. Other chunks are joined by a special token.
 """
 
@@ -44,7 +44,7 @@ class Encoder:
         special = [t for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
         self.join = special[0].content if special else None
         self.join_id = self.tokenizer.token_to_id(self.join) if special else None
-        self.names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.names = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(END)]] = True
@@ -65,8 +65,12 @@ class Encoder:
 
     def _learn(self, chunks: list[bytes]) -> None:
         """Letters with or without punctuation behind go one way, all else the other."""
+        plain = [c for c in chunks if c.isalpha() and c.islower()] if self.parted else []
+        self.seen.update(self._letters(plain))
         parts, others = [], []
         for chunk in chunks:
+            if chunk in self.seen:
+                continue
             body = chunk.rstrip(TAIL)
             key = body.lower()
             if self.parted and (key.isalpha() or (key and not key.isascii() and key.decode().isalpha())):
@@ -75,28 +79,33 @@ class Encoder:
                 others.append(chunk)
         letters: dict[bytes, bytes | None] = {key: self.seen.get(key) for _, key, _ in parts}
         others.extend(t for t in {t for _, _, t in parts} if t and t not in self.seen)
-        new = [k for k, v in letters.items() if v is None]
-        for at in range(0, len(new), JOINED):
-            some = new[at : at + JOINED]
-            ids = self._raw(b" ".join(some).decode())
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some):
-                letters.update(self._cut(some, ids, np.r_[0, cuts[:-1]], cuts))
-            else:  # a letter that is no single letter in lower case
-                letters.update((k, self._raw(k.decode()).tobytes()) for k in some)
+        letters.update(self._letters([k for k, v in letters.items() if v is None]))
         self.seen.update(letters)
         self._learn_others(others)
         for chunk, key, tail in parts:
             ids = letters[key]
             self.seen[chunk] = ids + self.seen[tail] if tail else ids
 
+    def _letters(self, keys: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words of letters, many at a time."""
+        found: dict[bytes, bytes] = {}
+        for at in range(0, len(keys), JOINED):
+            some = keys[at : at + JOINED]
+            ids = self._raw(b" ".join(some).decode())
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some):
+                found.update(self._cut(some, ids, np.r_[0, cuts[:-1]], cuts))
+            else:  # a letter that is no single letter in lower case
+                found.update((k, self._raw(k.decode()).tobytes()) for k in some)
+        return found
+
     def _cut(self, chunks: list[bytes], ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> dict[bytes, bytes]:
         raw, width = ids.tobytes(), self.kind.itemsize
         pairs = zip(chunks, (begins * width).tolist(), (ends * width).tolist(), strict=True)
         return {chunk: raw[a:b] for chunk, a, b in pairs}
 
     def _learn_others(self, chunks: list[bytes]) -> None:
-        odd = {c for c in chunks if self.join is None or any(n.encode() in c for n in self.names)}
+        odd = {c for c in chunks if self.join is None or any(n in c for n in self.names)}
         for chunk in odd:
             self.seen[chunk] = self._raw(chunk.decode()).tobytes()
         plain = [c for c in chunks if c not in odd]
@@ -120,6 +129,8 @@ class Encoder:
         words = wd.find_words(texts)
         if not len(words.start):
             return [b""] * len(texts)
+        if self.parted:
+            words = wd.letters_apart(words, TAIL)
         spelled = wd.blocks(words.data, words.start, words.stop)
         _, where, which = np.unique(wd.block_hashes(spelled), return_index=True, return_inverse=True)
         # A chunk that only shares its hash with another one stands for itself.

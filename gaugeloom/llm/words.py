@@ -66,6 +66,30 @@ def find_words(texts: list[bytes], space: np.ndarray = SPACE) -> Words:
     return Words(data, start, stop, first)
 
 
+def letters_apart(words: Words, tail: bytes) -> Words:
+    """Words of ASCII letters in lower case, each run of ``tail`` bytes behind one as a word of its own; others as they are."""
+    data, start, stop, first = words
+    low, high = (data >= 97) & (data <= 122), (data >= 65) & (data <= 90)
+    behind = np.zeros(256, dtype=bool)
+    behind[list(tail)] = True
+    solid = np.where(behind[data], -1, np.arange(len(data)))
+    body = np.maximum(np.maximum.accumulate(solid)[stop - 1] + 1, start)
+    odd = np.concatenate([[0], np.cumsum(~(low | high))])
+    plain = (body > start) & (odd[body] == odd[start])
+    lower = np.where(high, data | np.uint8(32), data)
+    raw = np.flatnonzero(~plain)
+    size = (stop - start)[raw]
+    at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start[raw], size)
+    lower[at] = data[at]
+    cut = plain & (body < stop)
+    count = 1 + cut
+    place = np.cumsum(count) - count
+    begins, ends = np.empty((2, int(count.sum())), dtype=np.int64)
+    begins[place], ends[place] = start, np.where(cut, body, stop)
+    begins[place[cut] + 1], ends[place[cut] + 1] = body[cut], stop[cut]
+    return Words(lower, begins, ends, np.concatenate([[0], np.cumsum(count)])[first])
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread a 64-bit number over all its bits (the finaliser of MurmurHash3)."""
     h = h ^ (h >> np.uint64(33))

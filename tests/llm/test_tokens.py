@@ -204,3 +204,14 @@ def test_a_word_has_one_hash_whatever_lies_beside_it():
     one, other = np.repeat(np.arange(n), n), np.tile(np.arange(n), n)
     assert (words.same(spelled, one, other) == (one == other)).all()
     assert len(set(words.hashes(found).tolist())) == n
+
+
+def test_letters_in_both_cases_and_their_punctuation_are_learned_once():
+    own = tokens.Encoder(PATH)
+    texts = ["The the THE. the, the?! thE;", "\u00c4pfel, \u00e4pfel. a1. A1 .. . x-Y, don't <|endoftext|>. Z\u0130z", ""]
+    got = [np.frombuffer(r, dtype=own.kind).tolist() for r in own.encode([t.encode() for t in texts])]
+    assert got == [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert b"the" in own.seen and b"?!" in own.seen and not {b"The", b"THE.", b"the,", b"thE;"} & own.seen.keys()
+    found = words.letters_apart(words.find_words([b"Ab, C1. ..", b"dE?x F"]), b".,")
+    spelled = [bytes(found.data[a:b]) for a, b in zip(found.start, found.stop, strict=True)]
+    assert spelled == [b"ab", b",", b"C1.", b"..", b"dE?x", b"f"] and found.first.tolist() == [0, 4, 6]
